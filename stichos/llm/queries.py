@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stichos.common import read_table
-from stichos.llm import spam
+from stichos.llm import leaks, spam
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return spam.spam_pages(read_table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p8_found,)}
+def p7_passages(spark: SparkSession, d: str) -> DataFrame:
+    docs, items = read_table(spark, d, "documents", "doc_id", "text"), read_table(spark, d, "eval_item", "item_id", "lang", "text")
+    return leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text", "lang")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_passages(spark, d).select("doc_id", "item_id").distinct()
+
+
+QUERIES = {f.__name__: f for f in (p7_found, p8_found)}
 SQL: dict[str, str] = {}
