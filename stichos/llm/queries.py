@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stichos.common import read_table
-from stichos.llm import leaks, spam
+from stichos.llm import alignment, leaks, packing, spam
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return spam.spam_pages(read_table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    lines = [read_table(spark, d, t, "line_id", "slug", "chapter", "verse", "line_no", "text", "loaded_at") for t in ("grk_lines", "eng_brenton_lines")]
+    pairs = alignment.aligned_lines(*lines, read_table(spark, d, "word", "form", "lemma"), read_table(spark, d, "glossary", "lemma", "gloss"))
+    return pairs.select(F.col("source_id").alias("grk_line_id"), F.col("target_id").alias("eng_line_id")).distinct()
+
+
+TOKENIZER = os.environ.get("STICHOS_TOKENIZER", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
+CAPACITY = 2048
+
+
+def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(read_table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", TOKENIZER, CAPACITY)
+
+
 def p7_passages(spark: SparkSession, d: str) -> DataFrame:
     docs, items = read_table(spark, d, "documents", "doc_id", "text"), read_table(spark, d, "eval_item", "item_id", "lang", "text")
     return leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text", "lang")
@@ -21,5 +38,5 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_passages(spark, d).select("doc_id", "item_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p8_found)}
+QUERIES = {f.__name__: f for f in (p4_found, p6_containers, p7_found, p8_found)}
 SQL: dict[str, str] = {}
