@@ -100,7 +100,7 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def feature(morph: Column, name: str) -> Column:
-    """Value of a feature; the last one wins; '' if absent or null."""
+    """The Name=Value element of a feature; the last one wins; '' if absent or null."""
     hits = F.filter(F.split(F.coalesce(morph, F.lit("")), r"\|"), lambda x: x.startswith(f"{name}="))
     return F.coalesce(F.get(hits, F.size(hits) - 1), F.lit(""))
 

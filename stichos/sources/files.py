@@ -17,7 +17,7 @@ FILE = r"([^/]+)-(\d+)\.txt$"
 
 def file_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """path, line_no (from 1), line; the empty piece after the last newline is no line."""
-    raw = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     parts = F.split(F.regexp_replace("value", "\r\n?", "\n"), "\n", -1)
     parts = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
     return raw.select("path", F.posexplode(parts).alias("n", "line")).select("path", (F.col("n") + 1).alias("line_no"), "line")
@@ -34,8 +34,8 @@ def sense_line_rows(lines: DataFrame, file_col: str = "path") -> DataFrame:
     text = X.strip(F.col("line"))
     marked = lines.withColumn("__t", text).withColumn("__is", text.rlike(r"^\d+:\d+$"))
     marked = marked.withColumn("__ref", _fill(F.when(F.col("__is"), F.col("__t")), w)).withColumn("__at", _fill(F.when(F.col("__is"), F.col("line_no")), w)).filter("__ref is not null")
-    last = marked.groupBy(file_col, F.col("__ref").alias("__r2")).agg(F.max("__at").alias("__keep"))
-    body = marked.filter("not __is").join(last, (marked[file_col] == last[file_col]) & (F.col("__ref") == F.col("__r2")) & (F.col("__at") == F.col("__keep"))).select(marked[file_col], "__ref", "line_no", "__t", "__at")
+    last = marked.groupBy(file_col, "__ref").agg(F.max("__at").alias("__at"))
+    body = marked.filter("not __is").select(file_col, "__ref", "__at", "line_no", "__t").join(last, [file_col, "__ref", "__at"], "left_semi")
     body = body.withColumn("__last", F.max(F.when(F.col("__t") != "", F.col("line_no"))).over(Window.partitionBy(file_col, "__ref"))).filter(F.col("line_no") <= F.col("__last"))
     number = lambda k: F.try_to_number(F.split_part("__ref", F.lit(":"), F.lit(k)), F.lit("999999999")).cast("int")
     return body.select(file_col, number(1).alias("chapter"), number(2).alias("verse"), (F.col("line_no") - F.col("__at")).cast("int").alias("line_no"), F.col("__t").alias("text"))
