@@ -9,7 +9,7 @@ is spam if most of its characters stand in such blocks.
 One pass of Arrow batches measures the blocks and is written to the shared folder; the medians are one small aggregate of it, and
 the verdict is a join with them and one aggregation by text. No row depends on another text but through the medians.
 
-Defined results: null and blank texts are not spam; a text under min_words words is not spam; every id with the text is
+Defined results: null and blank texts are not spam; a text under min_words words (a link or tag counts as one) is not spam; every id with the text is
 reported; texts of any length are measured whole; an empty table gives no rows; further columns are not read.
 """
 
@@ -65,7 +65,7 @@ def blocks(text: str, size: int = BLOCK) -> Iterator[str]:
 
 def measure(block: str) -> tuple:
     raw = block.lower().encode("utf-8", "replace")
-    words = WORD.findall(LINK.sub(" ", block).lower() if ("/" in block or "<" in block) else block.lower())
+    words = WORD.findall(LINK.sub(" link ", block).lower() if ("/" in block or "<" in block) else block.lower())
     greek = 2 * len(GREEK.findall(block)) > len(block) / 2 if not block.isascii() else False
     return len(block), len(raw), len(zlib.compress(raw, 6)) - 8, len(words), len((GREEK_END if greek else END).findall(block)), sum(map(GLUE.__contains__, words)), greek
 
