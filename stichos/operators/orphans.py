@@ -1,9 +1,10 @@
 """Orphan references: rows that point at rows which are absent, deleted or later than themselves.
 
 Tables and references form a foreign-key graph. Round 0 of the fixpoint finds the direct orphans of every reference.
-Each further round semi-joins the children of the rows that were orphaned last, until no row is new; those rows
-are inherited orphans. A round reads each child table once and joins it on the whole key, so no key holds a task up;
-its new rows are written to the shared folder, and broadcast in the next round only if their count is small.
+Then the orphans cascade down the graph by semi-joins: the children of orphaned rows are inherited orphans, and so are
+theirs, until no row is new. A table's references to itself make chains of any depth; each round squares the reference, so
+their number is the logarithm of the depth. Joins are on whole keys, so no key holds a task up; the rows of a round are
+written to the shared folder, and broadcast only if their count is small.
 
 Defined results: a null in any column of a reference is no reference; repeated deliveries of a key count once, as its
 latest row; a key with a null column cannot be named by a row key and is neither pointing row nor target; empty
@@ -12,15 +13,13 @@ tables give empty reports. Further columns of the inputs are not read.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from stichos.common import month, small_side, stage_dir, written
+from stichos.common import month, small_side, written
 
 DIRECT = "src string, row_key string, field string, period string, kind string"
 
@@ -57,7 +56,8 @@ class Reference:
     """child.field points at parent: target makes, from the child's state (k0.., c_..), the parent's key columns.
 
     absent: a condition under which there is no reference, besides nulls. unknown: a condition under which the target
-    cannot even be named, which is a missing target.
+    cannot even be named, which is a missing target. within: key columns (k0..) of a table's reference to itself that are the same in
+    the row and its target.
     """
 
     child: str
@@ -66,6 +66,7 @@ class Reference:
     target: Callable[[], Sequence[Column]]
     absent: Callable[[], Column] = field(default=lambda: F.lit(False))
     unknown: Callable[[], Column] = field(default=lambda: F.lit(False))
+    within: Sequence[str] = ()
 
 
 def _pointing(states: dict[str, DataFrame], ref: Reference) -> DataFrame:
@@ -118,64 +119,81 @@ def orphans(tables: Sequence[Table], refs: Sequence[Reference]) -> DataFrame:
     return direct_orphans(tables, refs).select("src", "row_key", "field", "period", "kind")
 
 
+def _table_order(names: Sequence[str], refs: Sequence[Reference]) -> tuple[list[str], bool]:
+    """Parents before children, and whether that is possible (references of a table to itself don't count)."""
+    needs = {n: {r.parent for r in refs if r.child == n and r.parent != n} for n in names}
+    order: list[str] = []
+    while free := [n for n in names if n not in order and needs[n] <= set(order)]:
+        order += free
+    return order + [n for n in names if n not in order], len(order) == len(names)
+
+
+def _close_under_itself(state: DataFrame, base: DataFrame, ref: Reference, n_keys: int) -> DataFrame:
+    """Orphans of a table (k.., steps) closed under its reference to itself.
+
+    Each round semi-joins the rows with the orphans 2^k references above and squares the reference, so a chain of any
+    depth takes the logarithm of it. Where the reference stays within the columns ref.within of the key, only their groups
+    with an orphan take part.
+    """
+    keys, ups = [f"k{i}" for i in range(n_keys)], [f"t{i}" for i in range(n_keys)]
+    p = _pointing({ref.child: state}, ref).select(*keys, *ups)
+    rows = state.select(*keys)
+    if ref.within:
+        groups = base.select(*ref.within).distinct()
+        p, rows = p.join(groups, list(ref.within), "left_semi"), rows.join(groups, list(ref.within), "left_semi")
+    there = rows.select(*[F.col(k).alias(t) for k, t in zip(keys, ups)])
+    links = rows.join(p.join(there, ups, "left_semi"), keys, "left").join(base.select(*keys, "steps"), keys, "left")
+    links = written(links, "orphans-links")
+    far, limit = 1, links.count()
+    while links.filter(f"{ups[0]} is not null").limit(1).count():
+        up = links.select(*[F.col(k).alias(f"u{i}") for i, k in enumerate(keys)], *[F.col(t).alias(f"v{i}") for i, t in enumerate(ups)], F.col("steps").alias("u_steps"))
+        on = [F.col(f"t{i}") == F.col(f"u{i}") for i in range(n_keys)]
+        links = links.join(up, on, "left").select(*keys, *[F.col(f"v{i}").alias(f"t{i}") for i in range(n_keys)], F.least("steps", F.col("u_steps") + far).alias("steps"))
+        links = written(links, "orphans-links")
+        far *= 2
+        if far > limit:  # what still points somewhere goes round a cycle
+            break
+    return links.filter("steps is not null").select(*keys, "steps")
+
+
 def cascade(tables: Sequence[Table], refs: Sequence[Reference]) -> DataFrame:
-    """The fixpoint: src, row_key, period, status (direct or inherited), steps (rounds from the nearest direct orphan).
+    """The fixpoint: src, row_key, period, status (direct or inherited), steps (references from the nearest direct orphan).
 
-    A row that is orphaned itself is direct, also if it hangs below another orphan. The rounds of a table are partitions
-    of one written table, so what was seen before is one scan however many rounds there were.
+    A row that is orphaned itself is direct, also if it hangs below another orphan. Tables are taken parents first, each is
+    semi-joined with the orphans of its parents and closed under its reference to itself; if tables refer to each other in
+    a ring, the passes repeat until no row is new.
     """
     by = {t.name: t for t in tables}
-    spark = tables[0].rows.sparkSession
     states = {t.name: written(t.state(), f"orphans-{t.name}") for t in tables}
-    parents = {r.parent for r in refs}
-    root = f"{stage_dir(spark)}/orphans-{uuid.uuid4().hex}"
-    seen: dict[str, int] = {}
-    fresh: dict[str, tuple[DataFrame, int]] = {}
-
-    def keys(name: str) -> list[str]:
-        return [f"k{i}" for i in range(len(by[name].key))]
-
-    def of(name: str, step: int | None = None) -> DataFrame:
-        schema = T.StructType([*(states[name].schema[k] for k in keys(name)), states[name].schema["loaded"]])
-        if step is not None:
-            return spark.read.schema(schema).parquet(f"{root}/{name}/steps={step}")
-        return spark.read.schema(schema.add("steps", T.IntegerType())).parquet(f"{root}/{name}")
-
-    def add(name: str, rows: DataFrame, step: int) -> None:
-        rows.select(*keys(name), "loaded").write.parquet(f"{root}/{name}/steps={step}")
-        n = of(name, step).count()
-        seen[name] = seen.get(name, 0) + n
-        if n and name in parents:
-            fresh[name] = (of(name, step), n)
-
-    for t in tables:
-        if own := [r for r in refs if r.child == t.name]:
-            hit = direct_orphans(tables, own, states).select(*[F.col(f"o{i}").alias(f"k{i}") for i in range(len(t.key))])
-            add(t.name, states[t.name].join(hit, keys(t.name), "left_semi"), 0)
-    step = 0
-    while fresh:
-        step += 1
-        last, fresh = fresh, {}
-        for name in by:
-            reached = [r for r in refs if r.child == name and r.parent in last]
-            rows = None
-            for ref in reached:
-                front, size = last[ref.parent]
-                n = len(by[ref.parent].key)
-                f = small_side(front.select(*[F.col(f"k{i}").alias(f"f{i}") for i in range(n)]), size)
-                p = _pointing(states, ref)
-                hit = p.join(f, _on(p, f, n, "t", "f"), "left_semi").select(*keys(name), "loaded")
-                rows = hit if rows is None else rows.unionByName(hit)
-            if rows is None:
+    order, acyclic = _table_order(list(by), refs)
+    orphaned: dict[str, tuple[DataFrame, int]] = {}
+    total = -1
+    while total != (total := sum(n for _, n in orphaned.values())) or total < 0:
+        for name in order:
+            own = [r for r in refs if r.child == name]
+            if not own:
                 continue
-            if len(reached) > 1:
-                rows = rows.dropDuplicates(keys(name))
-            if name in seen:
-                rows = rows.join(small_side(of(name).select(*keys(name)), seen[name]), keys(name), "left_anti")
-            add(name, rows, step)
+            keys = [f"k{i}" for i in range(len(by[name].key))]
+            base = direct_orphans(tables, own, states).select(*[F.col(f"o{i}").alias(k) for i, k in enumerate(keys)]).withColumn("steps", F.lit(0))
+            for ref in own:
+                if ref.parent in orphaned and (ref.parent != name or len([r for r in own if r.parent == name]) > 1):
+                    above, size = orphaned[ref.parent]
+                    n = len(by[ref.parent].key)
+                    f = small_side(above.select(*[F.col(f"k{i}").alias(f"f{i}") for i in range(n)], (F.col("steps") + 1).alias("steps")), size)
+                    p = _pointing(states, ref)
+                    base = base.unionByName(p.join(f, _on(p, f, n, "t", "f")).select(*keys, "steps"))
+            base = written(base.groupBy(*keys).agg(F.min("steps").alias("steps")), "orphans-base")
+            selves = [r for r in own if r.parent == name]
+            if len(selves) == 1:
+                base = written(_close_under_itself(states[name], base, selves[0], len(keys)), "orphans-closed")
+            orphaned[name] = (base, base.count())
+        if acyclic and all(len([r for r in refs if r.child == n == r.parent]) < 2 for n in by):
+            break
     out = None
-    for name in seen:
-        told = of(name).select(F.lit(name).alias("src"), by[name].row_key().alias("row_key"), month(F.col("loaded")).alias("period"), F.when(F.col("steps") == 0, "direct").otherwise("inherited").alias("status"), "steps")
+    for name, (rows, _) in orphaned.items():
+        keys = [f"k{i}" for i in range(len(by[name].key))]
+        told = rows.join(states[name].select(*keys, "loaded"), keys)
+        told = told.select(F.lit(name).alias("src"), by[name].row_key().alias("row_key"), month(F.col("loaded")).alias("period"), F.when(F.col("steps") == 0, "direct").otherwise("inherited").alias("status"), "steps")
         out = told if out is None else out.unionByName(told)
     return out
 

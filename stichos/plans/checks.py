@@ -24,7 +24,7 @@ def corpus_references(spark: SparkSession, d: str) -> tuple[list[orphans.Table],
     ]
     refs = [
         orphans.Reference("word", "ref", "verse", lambda: [F.col("c_ref")]),
-        orphans.Reference("word", "head", "word", lambda: [F.col("k0"), F.col("c_head")], absent=lambda: F.col("c_head") == 0),
+        orphans.Reference("word", "head", "word", lambda: [F.col("k0"), F.col("c_head")], absent=lambda: F.col("c_head") == 0, within=["k0"]),
         orphans.Reference("break_candidate", "ref", "verse", lambda: [F.col("c_target")], absent=lambda: ~F.col("c_points"), unknown=lambda: F.col("c_target").isNull()),
     ]
     return tables, refs
