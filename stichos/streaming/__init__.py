@@ -1,0 +1 @@
+"""The reference has no streams; nothing stands here yet."""
