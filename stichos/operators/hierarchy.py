@@ -28,6 +28,8 @@ from pyspark.sql.window import Window
 from stichos.common import small_side, written
 
 ROOT, DETACHED, CYCLE = 0, 1, 2
+#: Shares of one parent's children in a tree ranked by joins.
+SHARES = 256
 STATUS = np.array(["rooted", "detached", "cycle", "below_cycle"], dtype=object)
 
 
@@ -245,9 +247,14 @@ def wide_nodes(rows: DataFrame, trees: list[str], lists: bool) -> DataFrame:
     tops = written(tops, "hierarchy-tops")
 
     # 2. Euler tours: arc 0 goes down into a node, arc 1 up out of it; `to` names the next arc.
-    w = Window.partitionBy(*trees, "parent").orderBy("node")
-    kids = tops.filter("parent is not null").withColumn("next_kid", F.lead("node").over(w))
-    first = kids.groupBy(*trees, F.col("parent").alias("node")).agg(F.min("node").alias("first_kid"))
+    # Siblings are linked within salted shares of a parent's children, and the shares with each other, so a parent of any number will do.
+    share = [*trees, "parent", "salt"]
+    kids = tops.filter("parent is not null").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SHARES)))
+    heads = kids.groupBy(*share).agg(F.min("node").alias("head"))
+    first = heads.groupBy(*trees, F.col("parent").alias("node")).agg(F.min_by("head", "salt").alias("first_kid"))
+    heads = heads.withColumn("next_head", F.lead("head").over(Window.partitionBy(*trees, "parent").orderBy("salt")))
+    kids = kids.withColumn("next_kid", F.lead("node").over(Window.partitionBy(*share).orderBy("node"))).join(heads.select(*share, "next_head"), share)
+    kids = kids.withColumn("next_kid", F.coalesce("next_kid", "next_head"))
     arc = f"struct<node:{kind},up:int>"
 
     def name(node: str, up: int):

@@ -94,3 +94,10 @@ def test_text_keys_and_a_deep_chain(spark):
     df = spark.createDataFrame([("t", f"n{i:05d}", f"n{i - 1:05d}" if i else None) for i in range(n)], "t string, n string, p string")
     got = {r.n: r for r in H.hierarchy(df, ["t"], "n", "p", root_value=None).collect()}
     assert got["n02999"].steps == n - 1 and got["n02999"].top == "n00000" and got["n00000"].n_below == n - 1
+
+
+def test_a_wide_parent_by_joins(spark):
+    rows = [("t", 1, 0, None)] + [("t", i, 1, "x") for i in range(2, 900)] + [("t", 900, 5, "x"), ("t", 901, 902, "x"), ("t", 902, 901, "x"), ("t", 903, 901, "x"), ("t", 904, 999, "x")]
+    got = {r.local_id: r for r in H.hierarchy(spark.createDataFrame(rows, SCHEMA), ["sent_id"], "local_id", "head", max_tree_rows=100).collect()}
+    assert {k: (r.status, r.top, r.steps) for k, r in got.items()} == {i: v for (_, i), v in brute([r[:3] for r in rows]).items()}
+    assert got[1].n_below == 899 and got[5].n_below == 1 and got[900].steps == 2
