@@ -6,9 +6,10 @@ ones; jumps of any distance, backward too, decode lines moved or left out; and e
 with no source. A target word comes from a word of the state's lines by the lexicon, or from the background. Viterbi decoding gives the
 state of every target line; a pair comes out for each line of the state that shares a word with it, or stands between lines that do.
 
-The lexicon (form to lemma by the treebank, lemma to glosses) is joined to the source words by shuffle, never collected. Chapters
-are cogrouped, after the lines of both layers are cut into overlapping windows where a chapter has more than `lines` lines: a window
-is decoded by itself and keeps only its middle, so no chapter, however large, is brought into one task.
+The lexicon (form to lemma by the treebank, lemma to glosses) is joined to the source words by shuffle, never collected. The pairs of a first
+decoding teach it the words that glosses lack, over all lines, and a second decoding gives the result. Chapters
+are cogrouped, after the lines of both layers are cut into overlapping windows of verses where a chapter has more than `lines` lines: a
+window is decoded by itself and keeps only its middle, so a chapter of many verses is not brought into one task. A verse is not cut.
 
 Defined results: null and blank lines pair with nothing; null chapters or slugs have no partner; notes and markup don't count as text;
 repeated deliveries count once, by their latest row; a chapter in one layer only gives nothing; empty tables give no rows;
@@ -17,7 +18,6 @@ further columns are not read.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 import numpy as np
@@ -25,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stichos.common import latest_rows
+from stichos.common import latest_rows, written
 
 #: Frequent English words, which say little about a line's source.
 COMMON = frozenset("a all an and at because but by certain every for from he her his i in into is it its my of on our so she that the their them then there they this through to toward under until upon was we were while with yet you your it".split())
-WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+#: Weight of a gloss beside learned words, whose weight is their share of the lines.
+GLOSS_WEIGHT = 0.4
 #: Letters of the source script in the target's spelling of names.
 LATIN = {"α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "ch", "ψ": "ps", "ω": "o"}
 
@@ -127,16 +128,43 @@ def tokens(c: Column) -> Column:
     return F.filter(F.split(F.lower(plain), r"[^\p{L}\p{M}'’]+"), lambda w: w != "")
 
 
-def lexicon(words: DataFrame, glossary: DataFrame) -> DataFrame:
-    """form -> array of glosses: the forms of a lemma in the treebank with the lemma's glosses. Lemmas count as forms too."""
-    gloss = F.explode(F.split(F.lower(F.trim("gloss")), r"[^\p{L}'’]+"))
-    meant = glossary.filter("lemma is not null and gloss is not null").select("lemma", gloss.alias("word")).filter("word <> ''").distinct()
-    forms = words.filter("form is not null and lemma is not null").select(F.lower("form").alias("form"), "lemma").distinct()
-    forms = forms.unionByName(glossary.filter("lemma is not null").select(F.lower("lemma").alias("form"), "lemma").distinct())
-    return forms.join(meant, "lemma").groupBy("form").agg(F.array_sort(F.collect_set("word")).alias("glosses"))
+def lemma_keys(words: DataFrame) -> DataFrame:
+    """form -> key: the lemma a form (lower case) has most often in the treebank."""
+    n = words.filter("form is not null and lemma is not null").groupBy(F.lower("form").alias("lex_form"), "lemma").agg(F.count("*").alias("n"))
+    return n.groupBy("lex_form").agg(F.max(F.struct("n", "lemma")).alias("m")).select("lex_form", F.col("m.lemma").alias("lemma"))
 
 
-def line_windows(df: DataFrame, side: str, lines: int, halo: int) -> DataFrame:
+def gloss_lexicon(glossary: DataFrame) -> DataFrame:
+    """key, word, weight: the words of a lemma's glosses."""
+    word = F.explode(F.split(F.lower(F.trim("gloss")), r"[^\p{L}'’]+"))
+    return glossary.filter("lemma is not null and gloss is not null").select(F.col("lemma").alias("key"), word.alias("word")).filter("word <> ''").distinct().withColumn("weight", F.lit(GLOSS_WEIGHT))
+
+
+def learned_lexicon(pairs: DataFrame, source_words: DataFrame, target_words: DataFrame) -> DataFrame:
+    """key, word, weight: target words that stand in an unusual share of the lines paired with lines of the key.
+
+    One round of re-estimation over all paired lines. A pair gives a row for each two of its own words, summed before the shuffle.
+    """
+    s = pairs.join(source_words.filter(F.length("form") > 3).select(F.col("line_id").alias("source_id"), "key").distinct(), "source_id")
+    t = target_words.filter((F.length("word") > 2) & ~F.col("word").isin(*sorted(COMMON))).select(F.col("line_id").alias("target_id"), "word").distinct()
+    of_key = s.groupBy("key").agg(F.countDistinct("source_id", "target_id").alias("n_key"))
+    of_word = pairs.select("target_id").join(t, "target_id").groupBy("word").agg(F.count("*").alias("n_word"))
+    both = s.join(t, "target_id").groupBy("key", "word").agg(F.count("*").alias("n")).filter("n >= 3")
+    total = pairs.count()
+    share = F.col("n") / F.col("n_key")
+    out = both.join(of_key, "key").join(of_word, "word").withColumn("weight", share)
+    return out.filter((share >= 0.1) & (share * total >= 5 * F.col("n_word"))).select("key", "word", "weight")
+
+
+def with_lexicon(source_words: DataFrame, entries: DataFrame) -> DataFrame:
+    """line_id, forms, glosses: the words of a line in order, each with its target words and weights as text. Shuffled by key, never collected."""
+    own = entries.groupBy("key", "word").agg(F.max("weight").alias("weight")).groupBy("key").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "word", F.round("weight", 4).cast("string")))), " ").alias("glosses"))
+    told = source_words.join(own, "key", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("at", "form", F.coalesce("glosses", F.lit("")).alias("glosses"))))
+    return told.groupBy("line_id").agg(ordered.alias("words")).select("line_id", F.col("words.form").alias("forms"), F.col("words.glosses").alias("glosses"))
+
+
+def line_windows(df: DataFrame, lines: int, halo: int) -> DataFrame:
     """Adds window and core: the windows of a chapter a line belongs to, by its verse; chapters up to `lines` long have one.
 
     The place of a line is its share of the verses up to the chapter's last verse, which both sides know; null verses lie first.
@@ -151,27 +179,23 @@ def line_windows(df: DataFrame, side: str, lines: int, halo: int) -> DataFrame:
 
 
 def aligned_lines(
-    source: DataFrame, target: DataFrame, words: DataFrame, glossary: DataFrame, model: Model | None = None, lines: int = 400, halo: int = 12, chapters_per_group: int = 40,
+    source: DataFrame, target: DataFrame, words: DataFrame, glossary: DataFrame, model: Model | None = None, lines: int = 400, halo: int = 12, lines_per_group: int = 2000, learn: bool = True,
 ) -> DataFrame:
-    """source_id, target_id. source, target: line_id, slug, chapter, verse, line_no, text, loaded_at."""
+    """source_id, target_id. source, target: line_id, slug, chapter, verse, line_no, text, loaded_at. learn: decode, learn a lexicon, decode again."""
     model = model or Model()
     cols = ["line_id", "slug", "chapter", "verse", "line_no", "text", "loaded_at"]
     src, tgt = (latest_rows(x.select(*cols), ["line_id"]).filter("slug is not null and chapter is not null and line_id is not null") for x in (source, target))
-    word = src.select("line_id", F.posexplode(F.filter(F.split(F.regexp_replace("text", r"[^\p{L}\p{M}'’]+", " "), " "), lambda w: w != "")).alias("at", "form"))
-    named = word.withColumn("key", F.lower("form"))
-    told = named.join(lexicon(words, glossary).withColumnRenamed("form", "lex_form"), F.col("key") == F.col("lex_form"), "left")
-    sense = told.groupBy("line_id").agg(F.array_sort(F.collect_list(F.struct("at", "form", "glosses"))).alias("words"))
-    s = src.join(sense, "line_id").select("line_id", "slug", "chapter", "verse", "line_no", F.col("words.form").alias("forms"), F.transform("words.glosses", lambda g: F.array_join(F.coalesce(g, F.array().cast("array<string>")), " ")).alias("glosses"))
-    t = tgt.filter("text is not null").withColumn("forms", tokens(F.col("text"))).filter(F.size("forms") > 0).select("line_id", "slug", "chapter", "verse", "line_no", "forms")
+    src, tgt = written(src.drop("loaded_at"), "alignment-source"), written(tgt.filter("text is not null").withColumn("forms", tokens(F.col("text"))).filter(F.size("forms") > 0).drop("text", "loaded_at"), "alignment-target")
+    forms = F.filter(F.split("text", r"[^\p{L}\p{M}'’]+"), lambda w: w != "")
+    word = src.select("line_id", F.posexplode(forms).alias("at", "form")).withColumn("lex_form", F.lower("form"))
+    word = written(word.join(lemma_keys(words), "lex_form", "left").select("line_id", "at", "form", F.coalesce("lemma", "lex_form").alias("key")), "alignment-words")
     size = lambda df: df.groupBy("slug", "chapter").agg(F.count("*").alias("n"), F.max("verse").alias("v"))
-    chapters = size(s).join(size(t).select("slug", "chapter", F.col("n").alias("n2"), F.col("v").alias("v2")), ["slug", "chapter"])
-    chapters = chapters.select("slug", "chapter", F.greatest("n", "n2").alias("n_lines"), F.coalesce(F.greatest("v", "v2"), F.lit(0)).alias("last_verse"))
-    both = [line_windows(x.join(chapters, ["slug", "chapter"]), k, lines, halo).drop("n_lines", "last_verse") for k, x in (("s", s), ("t", t))]
-    n_chapters = source.select("slug", "chapter").distinct().count()
-    groups = max(1, -(-n_chapters // chapters_per_group))
+    chapters = size(src).join(size(tgt).select("slug", "chapter", F.col("n").alias("n2"), F.col("v").alias("v2")), ["slug", "chapter"])
+    chapters = written(chapters.select("slug", "chapter", F.greatest("n", "n2").alias("n_lines"), F.coalesce(F.greatest("v", "v2"), F.lit(0)).alias("last_verse")), "alignment-chapters")
+    groups = max(1, -(-(chapters.agg(F.coalesce(F.sum("n_lines"), F.lit(0))).first()[0]) // lines_per_group))
     key = F.pmod(F.xxhash64("slug", "chapter", "window"), F.lit(groups))
-    a, b = (x.withColumn("bucket", key) for x in both)
     kinds = (source.schema["line_id"].dataType.simpleString(), target.schema["line_id"].dataType.simpleString())
+    place = src.drop("text")
 
     def decode(x: pa.Table, y: pa.Table) -> pa.Table:
         by: dict[tuple, tuple[list, list]] = {}
@@ -179,20 +203,21 @@ def aligned_lines(
             for r in table.drop_columns(["bucket"]).to_pylist():
                 by.setdefault((r["slug"], r["chapter"], r["window"]), ([], []))[at].append(r)
         left, right = [], []
-        order = lambda r: (r["verse"] is None, r["verse"] or 0, r["line_no"] is None, r["line_no"] or 0, r["line_id"])
         for one, other in by.values():
-            one.sort(key=order)
+            one.sort(key=lambda r: (r["verse"] or 0, r["line_no"] or 0, r["line_id"]))
             other.sort(key=lambda r: (r["verse"] or 0, r["line_no"] or 0, r["line_id"]))
             sources, sizes, unknown = [], [], []
             for r in one:
                 can: dict[str, float] = {}
                 n, blank = 0.0, 0.0
                 for form, glosses in zip(r["forms"], r["glosses"]):
-                    meant = glosses.split()
-                    if not meant and form[:1].isupper():
-                        meant = [spelled(form)]
-                    for g in meant:
-                        can[g] = can.get(g, 0.0) + 1.0 / len(meant)
+                    parts = glosses.split()
+                    meant = dict(zip(parts[::2], map(float, parts[1::2])))
+                    if form[:1].isupper():
+                        meant.setdefault(spelled(form), 0.5)
+                    total = max(sum(meant.values()), 0.5)
+                    for g, weight in meant.items():
+                        can[g] = can.get(g, 0.0) + weight / total
                     guess = 0.0 if meant else 1.0 if len(form) > 4 else 0.0
                     n, blank = n + (1.0 if meant else guess), blank + guess
                 sources.append(can)
@@ -204,4 +229,13 @@ def aligned_lines(
                     right.append(other[i]["line_id"])
         return pa.table({"source_id": pa.array(left, x.schema.field("line_id").type), "target_id": pa.array(right, y.schema.field("line_id").type)})
 
-    return a.groupBy("bucket").cogroup(b.groupBy("bucket")).applyInArrow(decode, f"source_id {kinds[0]}, target_id {kinds[1]}")
+    def align(entries: DataFrame) -> DataFrame:
+        s = place.join(with_lexicon(word, entries), "line_id")
+        a, b = (line_windows(x.join(chapters, ["slug", "chapter"]), lines, halo).drop("n_lines", "last_verse").withColumn("bucket", key) for x in (s, tgt))
+        return a.groupBy("bucket").cogroup(b.groupBy("bucket")).applyInArrow(decode, f"source_id {kinds[0]}, target_id {kinds[1]}")
+
+    entries = gloss_lexicon(glossary)
+    if learn:
+        first = written(align(entries).distinct(), "alignment-first")
+        entries = entries.unionByName(written(learned_lexicon(first, word, tgt.select("line_id", F.explode("forms").alias("word"))), "alignment-lexicon"))
+    return align(entries)
