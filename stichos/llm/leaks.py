@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 NOTE = re.compile(r"\\(f|x)\s.*?\\\1\*", re.S)
 MARK = re.compile(r"\\\+?[a-z]+\d?\*?|<[^<>\n]{1,200}>|&[a-z]{2,6};")
@@ -252,6 +253,7 @@ def leaked_passages(docs: DataFrame, doc_id: str, text: str, items: DataFrame, i
     total = rows.agg(F.coalesce(F.sum(F.size(F.split("t", r"\s+"))), F.lit(0))).first()[0]
     slices = max(1, -(-int(total) // s.max_item_words))
     kinds = (docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString())
+    item_type = to_arrow_type(items.schema[item_id].dataType)
     out = None
     for k in range(slices):
         part = rows if slices == 1 else rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(slices)) == k)
@@ -261,7 +263,7 @@ def leaked_passages(docs: DataFrame, doc_id: str, text: str, items: DataFrame, i
         def run(batches, held=held):
             index = Index(held.value, s)
             get = index.code.get
-            ids = pa.array(index.ids)
+            ids = pa.array(index.ids, item_type)
             for batch in batches:
                 docs_, items_, sizes, scores = [], [], [], []
                 texts, at = batch.column(1), 0
@@ -280,7 +282,7 @@ def leaked_passages(docs: DataFrame, doc_id: str, text: str, items: DataFrame, i
                             items_.append(i)
                             sizes.append(n)
                             scores.append(score)
-                found = ids.take(pa.array(items_, pa.int32())) if len(ids) else pa.array([], pa.int64())
+                found = ids.take(pa.array(items_, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(docs_, pa.int32())), found, pa.array(sizes, pa.int32()), pa.array(scores, pa.float64())], names=["d", "i", "n_words", "score"])
 
         told = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).filter("t is not null").mapInArrow(run, f"d {kinds[0]}, i {kinds[1]}, n_words int, score double")

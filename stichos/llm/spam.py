@@ -3,8 +3,8 @@
 A text is cut into blocks of lines, and each block is compressed. Its compression ratio is divided by the median ratio of
 all blocks of the same script and length (measured over the whole corpus), which leaves its redundancy: 1 is usual, less is
 repetitive. A redundant block is confirmed by a low density of sentence punctuation, and by a low share of glue words
-(articles, prepositions, conjunctions, pronouns), which tell a litany or genealogy from a list of keywords. A text
-is spam if most of its characters stand in such blocks.
+(articles, prepositions, conjunctions, pronouns), which tell a litany or genealogy from a list of keywords; where keywords
+are stuffed into sentences, one word that makes up much of the block confirms it instead. A text is spam if most of its characters stand in such blocks.
 
 One pass of Arrow batches measures the blocks and is written to the shared folder; the medians are one small aggregate of it, and
 the verdict is a join with them and one aggregation by text. No row depends on another text but through the medians.
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,13 +36,14 @@ GLUE = frozenset(
 )
 WORD = re.compile(r"[^\W\d_]+")
 LINK = re.compile(r"(?:https?://|www\.)[^\s\"<>)\]]+|\b[\w-]+\.(?:[a-z]{3,10})/[^\s\"<>)\]]*|<[^<>]{0,300}>")
-#: A sentence ends after a letter or a closing mark, so numbers of lists don't count; in Greek also at ; and ·.
-END = re.compile(r"(?<=[^\W\d_\"'”’)»])[\"'”’)»]*[.!?:](?=[\s\"'”’)»]|\Z)|(?<=[^\W\d_])[\"'”’)»]+[.!?]|(?<=[.!?])[\"'”’)»]")
+MARK = re.compile(r"\\\+?[a-z]+\d?\*?")
+#: A sentence ends after a letter or a closing mark, so numbers that begin a line don't count; in Greek also at ; and ·.
+END = re.compile(r"(?<=[^\W\d_\"'”’)»])[\"'”’)»]*[.!?:](?=[\s\"'”’)»]|\Z)|(?<=[^\W\d_])[\"'”’)»]+[.!?]|(?<=[.!?])[\"'”’)»]|[^\n\d]\d{1,4}[.!?](?=[\s\"'”’)»]|\Z)")
 GREEK_END = re.compile(r"(?<=[^\W\d_])\s?[.!?;··]")
 GREEK = re.compile(r"[Ͱ-Ͽἀ-῿]")
 BLOCK = 480
 
-MEASURES = "n_chars int, n_bytes int, n_packed int, n_words int, n_ends int, n_glue int, greek boolean"
+MEASURES = "n_chars int, n_bytes int, n_packed int, n_words int, n_ends int, n_glue int, n_top int, greek boolean"
 
 
 def blocks(text: str, size: int = BLOCK) -> Iterator[str]:
@@ -63,14 +65,19 @@ def blocks(text: str, size: int = BLOCK) -> Iterator[str]:
         yield "\n".join(kept)
 
 
-def measure(block: str) -> tuple:
+def measure(block: str, glue: frozenset[str] = GLUE) -> tuple:
+    if "\\" in block:
+        block = MARK.sub("", block)
     raw = block.lower().encode("utf-8", "replace")
     words = WORD.findall(LINK.sub(" link ", block).lower() if ("/" in block or "<" in block) else block.lower())
     greek = 2 * len(GREEK.findall(block)) > len(block) / 2 if not block.isascii() else False
-    return len(block), len(raw), len(zlib.compress(raw, 6)) - 8, len(words), len((GREEK_END if greek else END).findall(block)), sum(map(GLUE.__contains__, words)), greek
+    counts = Counter(words)
+    n_glue = sum(counts[w] for w in counts.keys() & glue)
+    top = max((n for w, n in counts.items() if w not in glue), default=0)
+    return len(block), len(raw), len(zlib.compress(raw, 6)) - 8, len(words), len((GREEK_END if greek else END).findall(block)), n_glue, top, greek
 
 
-def block_measures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def block_measures(df: DataFrame, id_col: str, text_col: str, glue: frozenset[str] = GLUE) -> DataFrame:
     """A row for each block of each text: id and MEASURES."""
 
     def run(batches):
@@ -81,30 +88,31 @@ def block_measures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     for b in blocks(text):
                         if not b.isspace():
                             ids.append(at)
-                            out.append(measure(b))
-            cols = list(zip(*out)) if out else [[] for _ in range(7)]
-            arrays = [batch.column(0).take(pa.array(ids, pa.int32())), *[pa.array(c, pa.int32()) for c in cols[:6]], pa.array(cols[6], pa.bool_())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_chars", "n_bytes", "n_packed", "n_words", "n_ends", "n_glue", "greek"])
+                            out.append(measure(b, glue))
+            cols = list(zip(*out)) if out else [[] for _ in range(8)]
+            arrays = [batch.column(0).take(pa.array(ids, pa.int32())), *[pa.array(c, pa.int32()) for c in cols[:7]], pa.array(cols[7], pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_chars", "n_bytes", "n_packed", "n_words", "n_ends", "n_glue", "n_top", "greek"])
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null").mapInArrow(run, f"id {kind}, {MEASURES}")
 
 
-def spam_scores(df: DataFrame, id_col: str, text_col: str, min_words: int = 12, share: float = 0.45) -> DataFrame:
+def spam_scores(df: DataFrame, id_col: str, text_col: str, min_words: int = 12, share: float = 0.39, glue: frozenset[str] = GLUE) -> DataFrame:
     """id, n_chars, spam_share (characters in spam blocks), redundancy (the least of a block), spam."""
     ratio = F.col("n_packed") / F.greatest("n_bytes", F.lit(1))
     bucket = F.round(2 * F.log2(F.col("n_chars") + 1))
-    one = written(block_measures(df, id_col, text_col), "spam-blocks").withColumns({"ratio": ratio, "bucket": bucket})
+    one = written(block_measures(df, id_col, text_col, glue), "spam-blocks").withColumns({"ratio": ratio, "bucket": bucket})
     # One row for each script and half power of two of the length of a block, which is bounded: a few dozen.
     usual = one.groupBy("greek", "bucket").agg(F.percentile_approx("ratio", 0.5, 2000).alias("usual"))
     red = F.col("ratio") / F.col("usual")
     words = F.greatest(F.col("n_words"), F.lit(1))
-    ends, glue = F.col("n_ends") / words, F.col("n_glue") / words
+    ends, glue, top = F.col("n_ends") / words, F.col("n_glue") / words, F.col("n_top") / words
     spam = (
         ((red < 0.88) & (ends < 0.045) & (glue < 0.27))
         | ((red < 0.80) & (ends < 0.05) & (glue < 0.34))
         | ((red < 0.62) & (glue < 0.30))
         | ((red < 0.46) & (glue < 0.42))
+        | ((red < 0.85) & (glue < 0.42) & (top >= 0.17) & (F.col("n_words") >= 16))
         | ((ends < 0.012) & (glue < 0.17))
         | ((red < 0.95) & (ends < 0.02) & (glue < 0.2))
     )
