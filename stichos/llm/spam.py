@@ -104,7 +104,7 @@ def spam_scores(df: DataFrame, id_col: str, text_col: str, min_words: int = 12,
     one = written(block_measures(df, id_col, text_col, glue), "spam-blocks").withColumns({"ratio": ratio, "bucket": bucket})
     # One row for each script and half power of two of the length of a block, which is bounded: a few dozen.
     usual = one.groupBy("greek", "bucket").agg(F.percentile_approx("ratio", 0.5, 2000).alias("usual"))
-    red = F.col("ratio") / F.col("usual")
+    red = F.col("ratio") / F.greatest(F.col("usual"), F.lit(0.01))
     words = F.greatest(F.col("n_words"), F.lit(1))
     ends, glue, top = F.col("n_ends") / words, F.col("n_glue") / words, F.col("n_top") / words
     spam = (
@@ -113,7 +113,7 @@ def spam_scores(df: DataFrame, id_col: str, text_col: str, min_words: int = 12,
         | ((red < 0.62) & (glue < 0.30))
         | ((red < 0.46) & (glue < 0.42))
         | ((red < 0.85) & (glue < 0.42) & (top >= 0.17) & (F.col("n_words") >= 16))
-        | ((ends < 0.012) & (glue < 0.17))
+        | ((red < 1.1) & (ends < 0.012) & (glue < 0.17))
         | ((red < 0.95) & (ends < 0.02) & (glue < 0.2))
     )
     told = one.join(F.broadcast(usual), ["greek", "bucket"]).select("id", "n_chars", "n_words", red.alias("red"), spam.alias("spam"))

@@ -115,7 +115,7 @@ def test_spam(spark):
     r = random.Random(6)
     link = lambda: f"https://{r.choice(NOUNS)}.test/{r.choice('ab')}-lamp.html"
     spam_ = ["cheap lamp online " * 60, "\n".join(link() for _ in range(40)), "lamp shop, " * 50, " | ".join(["Lamp Sale", "Buy Lamp"] * 30), "πύλη\nλύχνος\n" * 60]
-    fine = [prose(r, 12) for _ in range(60)] + ["And Bel was the father of Kor. And Kor was the father of Nim, and Nim lived 40 years. " * 8, prose(r, 10) + "\n\n" + "\n".join(link() for _ in range(4)), "", " ", None, "lamp lamp", prose(r, 900)]
+    fine = [prose(r, 12) for _ in range(60)] + ["And Bel was the father of Kor. And Kor was the father of Nim, and Nim lived 40 years. " * 8, prose(r, 10) + "\n\n" + "\n".join(link() for _ in range(4)), "", " ", None, "lamp lamp", "\\add\\add*", "\x00", prose(r, 900)]
     rows = [(k, t, 0.5) for k, t in enumerate(spam_ + fine)] + [(0, spam_[0], 0.5), (1000, spam_[0], None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ratio double")
     assert {x.doc_id for x in spam.spam_pages(df, "doc_id", "text").collect()} == {*range(len(spam_)), 1000}
