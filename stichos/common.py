@@ -20,12 +20,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
+_own_dirs: dict[str, str] = {}
+_stages: list[str] = []
+
+
 def stage_dir(spark: SparkSession) -> str:
     """The shared folder for written stages: spark.checkpoint.dir of the session; a temporary folder only where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="stichos-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        if app not in _own_dirs:
+            _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="stichos-")
+        base = _own_dirs[app]
     return base.rstrip("/")
 
 
@@ -34,9 +40,19 @@ def written(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{stage_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _stages.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stages(spark: SparkSession) -> int:
+    """Deletes the stages written so far, once no DataFrame that reads them is needed any more. Gives their number."""
+    n = len(_stages)
+    while _stages:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stages.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast if the counted rows are under the bound; else the planner shuffles both sides."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

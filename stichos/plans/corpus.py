@@ -147,13 +147,11 @@ def event_runs(spark, d):
 
 
 def level_counts(spark, d):
-    t = segment.tokens(words(spark, d))
-    flat = t.agg(
+    t = segment.with_governor(segment.tokens(words(spark, d)))  # a row a word still
+    return t.agg(
         F.countDistinct("book_code").alias("books"), F.countDistinct("book_code", "chapter").alias("chapters"), F.countDistinct("book_code", "chapter", "verse").alias("verses"), F.count("*").alias("words"),
-        F.count_if(F.col("head") == 0).alias("roots"), F.countDistinct("sent_id").alias("sentences"),
+        F.count_if(F.col("head") == 0).alias("roots"), F.countDistinct("sent_id").alias("sentences"), F.count_if(F.coalesce("g_there", F.lit(False))).alias("edges"),
     )
-    g = segment.with_governor(t).agg(F.count_if(F.coalesce("g_there", F.lit(False))).alias("edges"))
-    return flat.crossJoin(g)  # two single rows
 
 
 def section_rollup(spark, d):

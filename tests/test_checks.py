@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from stichos import common
 from stichos.common import latest_rows
 from stichos.operators import compare, orphans, parsing
 
@@ -142,3 +143,16 @@ def test_latest_row_ties(spark):
     rows = [(1, "a", day(1)), (1, "b", day(1)), (1, None, day(1)), (None, "n", None), (2, "x", None), (2, "y", day(0))]
     got = {(r.k, r.v) for r in latest_rows(spark.createDataFrame(rows, "k int, v string, loaded_at timestamp"), ["k"]).collect()}
     assert got == {(1, "b"), (None, "n"), (2, "y")}
+
+
+def test_stages_go_to_the_folder_of_the_session(spark, tmp_path):
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    base = common.stage_dir(spark)
+    assert base == where.rstrip("/") if where else base.startswith("file:/") and base == common.stage_dir(spark)
+    df = common.written(spark.range(3).toDF("n"), "test")
+    path = df.inputFiles()[0].rpartition("/")[0].removeprefix("file://")
+    assert path.startswith(base.removeprefix("file://")) and df.count() == 3
+    assert common.drop_stages(spark) >= 1
+    import os
+
+    assert not os.path.exists(path)
