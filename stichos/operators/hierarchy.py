@@ -117,7 +117,7 @@ def _codes(table: pa.Table, names: list[str]) -> np.ndarray:
     return total
 
 
-def _solve(table: pa.Table, trees: list[str], lists: bool, out: pa.Schema) -> pa.Table:
+def _solve(table: pa.Table, trees: list[str], lists: bool, carry: list[str], out: pa.Schema) -> pa.Table:
     """One bucket of whole trees. Columns: trees.., node, parent, is_root."""
     n = table.num_rows
     if not n:
@@ -160,20 +160,23 @@ def _solve(table: pa.Table, trees: list[str], lists: bool, out: pa.Schema) -> pa
     cols = [table.column(c) for c in trees] + [nodes, pa.array(status.tolist(), pa.string()), nodes.take(pa.array(named)), pa.array(steps, pa.int32()), pa.array(t["entry"]), pa.array(t["exit"]), pa.array(t["below"])]
     if lists:
         flat, offsets = paths(cut, steps)
-        cols.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), nodes.take(pa.array(flat))))
+        at, ends = pa.array(flat), pa.array(offsets, pa.int32())
+        cols.append(pa.ListArray.from_arrays(ends, nodes.take(at)))
+        carried = [pa.ListArray.from_arrays(ends, table.column(c).combine_chunks().take(at)) for c in carry]
         preorder = np.lexsort((t["entry"], top))
         place = np.empty(n, np.int64)
         place[preorder] = np.arange(n)
         flat, offsets = _lists(preorder, place + 1, t["below"])
-        cols.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), nodes.take(pa.array(flat))))
+        cols += [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), nodes.take(pa.array(flat))), *carried]
     return pa.Table.from_arrays([c if isinstance(c, pa.ChunkedArray) else pa.chunked_array([c]) for c in cols], names=out.names).cast(out)
 
 
 def hierarchy(
     df: DataFrame, tree_cols: list[str], node: str, parent: str, root_value=0,
-    lists: bool = False, rows_per_bucket: int = 50_000, max_tree_rows: int = 200_000,
+    lists: bool = False, carry: tuple[str, ...] = (), rows_per_bucket: int = 50_000, max_tree_rows: int = 200_000,
 ) -> DataFrame:
-    """tree_cols.., node, status, top, steps, entry, exit, n_below; with lists also path and descendants (in tour order).
+    """tree_cols.., node, status, top, steps, entry, exit, n_below; with lists also path and descendants (in tour order), and
+    for each column of carry an array path_<column> of its values along the path.
 
     status: rooted, detached, cycle or below_cycle. top: the root, the detached node or the smallest node of the cycle.
     steps: parents followed to the top, or to the first node on the cycle. entry and exit count from the top, or from that node.
@@ -181,7 +184,7 @@ def hierarchy(
     """
     trees = [f"tree{i}" for i in range(len(tree_cols))]
     is_root = F.coalesce(F.col(parent) == F.lit(root_value), F.lit(False)) if root_value is not None else F.lit(False)
-    rows = df.select(*[F.col(c).alias(t) for c, t in zip(tree_cols, trees)], F.col(node).alias("node"), F.col(parent).cast(df.schema[node].dataType).alias("parent"), is_root.alias("is_root"))
+    rows = df.select(*[F.col(c).alias(t) for c, t in zip(tree_cols, trees)], F.col(node).alias("node"), F.col(parent).cast(df.schema[node].dataType).alias("parent"), is_root.alias("is_root"), *[F.col(c).alias(f"carry{i}") for i, c in enumerate(carry)])
     rows = rows.filter(" and ".join(f"{c} is not null" for c in (*trees, "node")))
     sizes = written(rows.groupBy(*trees).agg(F.count("*").alias("tree_rows")), "hierarchy-sizes")
     total, large = sizes.agg(F.coalesce(F.sum("tree_rows"), F.lit(0)), F.count(F.when(F.col("tree_rows") > max_tree_rows, 1))).first()
@@ -194,19 +197,30 @@ def hierarchy(
     schema = ", ".join([*[f"{t} {k}" for t, k in zip(trees, kinds)], f"node {kind}", "status string", f"top {kind}", "steps int", "entry long", "exit long", "n_below long"])
     if lists:
         schema += f", path array<{kind}>, descendants array<{kind}>"
+        schema += "".join(f", path_{c} array<{df.schema[c].dataType.simpleString()}>" for c in carry)
+    elif carry:
+        raise ValueError("carry needs lists")
+    extra = [f"carry{i}" for i in range(len(carry))]
 
     def solve(table: pa.Table) -> pa.Table:
         value, ids = table.schema.field("node").type, [pa.field(t, table.schema.field(t).type) for t in trees]
-        out = pa.schema([*ids, ("node", value), ("status", pa.string()), ("top", value), ("steps", pa.int32()), ("entry", pa.int64()), ("exit", pa.int64()), ("n_below", pa.int64()), *([("path", pa.list_(value)), ("descendants", pa.list_(value))] if lists else [])])
-        first = table.group_by([*trees, "node"]).aggregate([("parent", "max"), ("is_root", "max")])
+        out = pa.schema([*ids, ("node", value), ("status", pa.string()), ("top", value), ("steps", pa.int32()), ("entry", pa.int64()), ("exit", pa.int64()), ("n_below", pa.int64()), *([("path", pa.list_(value)), ("descendants", pa.list_(value)), *[(f"path_{c}", pa.list_(table.schema.field(e).type)) for c, e in zip(carry, extra)]] if lists else [])])
+        first = table.group_by([*trees, "node"]).aggregate([("parent", "max"), ("is_root", "max"), *[(e, "max") for e in extra]])
         if first.num_rows < table.num_rows:  # repeated nodes
-            table = pa.Table.from_arrays([*[first.column(t) for t in trees], first.column("node"), first.column("parent_max"), first.column("is_root_max")], names=[*trees, "node", "parent", "is_root"])
-        return _solve(table, trees, lists, out)
+            table = pa.Table.from_arrays([*[first.column(t) for t in trees], first.column("node"), first.column("parent_max"), first.column("is_root_max"), *[first.column(f"{e}_max") for e in extra]], names=[*trees, "node", "parent", "is_root", *extra])
+        return _solve(table, trees, lists, extra, out)
 
     bucket = F.pmod(F.xxhash64(*trees), F.lit(buckets))
     out = narrow.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(lambda t: solve(t.drop_columns(["bucket"])), schema)
     if large:
-        out = out.unionByName(wide_nodes(rows.join(tall, trees, "left_semi"), trees, lists))
+        wide = written(rows.join(tall, trees, "left_semi"), "hierarchy-wide")
+        tall_out = wide_nodes(wide, trees, lists)
+        if carry:
+            values = wide.groupBy(*trees, "node").agg(*[F.max(e).alias(e) for e in extra]).withColumnRenamed("node", "up")
+            way = tall_out.select(*trees, "node", F.posexplode("path").alias("at", "up")).join(values, [*trees, "up"])
+            way = way.groupBy(*trees, "node").agg(F.array_sort(F.collect_list(F.struct("at", *extra))).alias("way"))
+            tall_out = tall_out.join(way.select(*trees, "node", *[F.col(f"way.{e}").alias(f"path_{c}") for c, e in zip(carry, extra)]), [*trees, "node"])
+        out = out.unionByName(tall_out)
     return out.select(*[F.col(t).alias(c) for t, c in zip(trees, tree_cols)], F.col("node").alias(node), *[c for c in out.columns if c not in (*trees, "node")])
 
 

@@ -51,14 +51,19 @@ def is_clause() -> Column:
     return (F.col("head") == 0) | F.col("udrel").isin(*C.STAND_RELS, *C.BIND_RELS, *C.ADVERBIAL_RELS)
 
 
-def chains(t: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The closure with what the rules ask of ancestors: a_udrel, a_clause, a_book, a_chapter, in_ch (the way stays in the chapter)."""
-    a = t.select("sent_id", F.col("local_id").alias("anc"), F.col("udrel").alias("a_udrel"), is_clause().alias("a_clause"), F.col("chapter").alias("a_chapter"), "book_code")
-    both = pairs.join(a, ["sent_id", "anc"])
-    w = Window.partitionBy(*NODE).orderBy("depth")
-    own = F.first(F.struct("book_code", "a_chapter")).over(w)
-    both = both.withColumn("w_chapter", F.first("a_chapter").over(w)).withColumn("same", own == F.struct("book_code", "a_chapter"))
-    return both.withColumn("in_ch", F.min(F.col("same").cast("int")).over(w) == 1)
+def chains(t: DataFrame) -> DataFrame:
+    """The closure (sent_id, local_id, anc, depth) with what the rules ask of ancestors: a_udrel, a_clause, same (in the word's chapter), in_ch (the way too).
+
+    The ancestors' values come along with the paths, so the closure is neither joined nor sorted.
+    """
+    home = F.concat_ws("/", "book_code", "chapter")
+    tree = hierarchy(t.withColumns({"home": home, "clause": is_clause()}), ["sent_id"], "local_id", "head", lists=True, carry=("home", "udrel", "clause"))
+    up = tree.select(*NODE, *[F.reverse(c).alias(c) for c in ("path", "path_home", "path_udrel", "path_clause")])
+    same = F.transform("path_home", lambda h: h == F.get("path_home", F.lit(0)))
+    up = up.withColumn("same", same).withColumn("leaves", F.array_position("same", F.lit(False)))  # 0: never; else the first place outside, from 1
+    step = F.arrays_zip("path", "path_udrel", "path_clause", "same")
+    out = up.select(*NODE, "leaves", F.posexplode(step).alias("depth", "a"))
+    return out.select(*NODE, "depth", F.col("a.path").alias("anc"), F.col("a.path_udrel").alias("a_udrel"), F.col("a.path_clause").alias("a_clause"), F.col("a.same").alias("same"), ((F.col("leaves") == 0) | (F.col("depth") < F.col("leaves") - 1)).alias("in_ch"))
 
 
 def subtree_facts(t: DataFrame, chain: DataFrame) -> DataFrame:
@@ -187,6 +192,6 @@ def sense_lines(t: DataFrame, units: DataFrame, breaks: DataFrame | None = None)
 def segment(words: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
     """The whole query: words to sense lines."""
     t = written(tokens(words), "segment-tokens")
-    chain = written(chains(t, closure(t)), "segment-chains")
+    chain = written(chains(t), "segment-chains")
     units = unit_roots(chain, bind_rules(t, chain))
     return sense_lines(t, units, phrase_breaks(t, candidates) if candidates is not None else None)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stichos import catalog as C
-from stichos.common import latest_rows, read_table
+from stichos.common import latest_rows, read_table, written
 from stichos.functions import text as X
 from stichos.operators import align, gates, render, segment
 from stichos.plans.corpus_sql import SQL  # noqa: F401
@@ -294,9 +294,11 @@ def any_english(spark, d):
 # The segmentation.
 
 
-def chain_of(spark, d):
+def chain_of(spark, d, keep=False):
+    """Tokens and their chains; kept (written) where they are read more than once."""
     t = segment.tokens(words(spark, d))
-    return t, segment.chains(t, segment.closure(t))
+    t = written(t, "tokens") if keep else t
+    return t, written(segment.chains(t), "chains") if keep else segment.chains(t)
 
 
 def ancestor_closure(spark, d):
@@ -315,12 +317,12 @@ def nearest_clause_head(spark, d):
 
 
 def bind_rules(spark, d):
-    b = segment.bind_rules(*chain_of(spark, d))
+    b = segment.bind_rules(*chain_of(spark, d, keep=True))
     return b.select("sent_id", "local_id", "rule", F.col("bind").cast("int").alias("bind"))
 
 
 def unit_roots(spark, d):
-    t, chain = chain_of(spark, d)
+    t, chain = chain_of(spark, d, keep=True)
     return t.join(segment.unit_roots(chain, segment.bind_rules(t, chain)), ["sent_id", "local_id"], "left").select("sent_id", "local_id", F.coalesce("unit", "local_id").alias("unit"))
 
 

@@ -47,7 +47,8 @@ def random_rows(seed, trees=12):
 def test_against_walking(spark, limit):
     rows = random_rows(3)
     df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
-    got = H.hierarchy(df, ["sent_id"], "local_id", "head", lists=True, rows_per_bucket=40, max_tree_rows=limit).collect()
+    got = H.hierarchy(df, ["sent_id"], "local_id", "head", lists=True, carry=("head", "top"), rows_per_bucket=40, max_tree_rows=limit).collect()
+    assert all(g.path_head == [{(s, i): h for s, i, h in rows}[(g.sent_id, p)] for p in g.path] and g.path_top == ["x"] * len(g.path) for g in got)
     want = brute(rows)
     assert {(g.sent_id, g.local_id): (g.status, g.top, g.steps) for g in got} == want
     by = {(g.sent_id, g.local_id): g for g in got}
