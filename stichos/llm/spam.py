@@ -37,8 +37,8 @@ GLUE = frozenset(
 WORD = re.compile(r"[^\W\d_]+")
 LINK = re.compile(r"(?:https?://|www\.)[^\s\"<>)\]]+|\b[\w-]+\.(?:[a-z]{3,10})/[^\s\"<>)\]]*|<[^<>]{0,300}>")
 MARK = re.compile(r"\\\+?[a-z]+\d?\*?")
-#: A sentence ends after a letter or a closing mark, so numbers that begin a line don't count; in Greek also at ; and ·.
-END = re.compile(r"(?<=[^\W\d_\"'”’)»])[\"'”’)»]*[.!?:](?=[\s\"'”’)»]|\Z)|(?<=[^\W\d_])[\"'”’)»]+[.!?]|(?<=[.!?])[\"'”’)»]|[^\n\d]\d{1,4}[.!?](?=[\s\"'”’)»]|\Z)")
+#: A sentence ends after a word or a closing mark; numbers that begin a line don't count (a text is searched with a newline before it); in Greek also at ; and ·.
+END = re.compile("[.!?](?<=[\\w\"'”’)»][.!?])(?<!\n\\d[.!?])(?<!\n\\d\\d[.!?])(?=[\\s\"'”’)»]|\\Z)|:(?<=[^\\W\\d_]:)(?=\\s|\\Z)")
 GREEK_END = re.compile(r"(?<=[^\W\d_])\s?[.!?;··]")
 GREEK = re.compile(r"[Ͱ-Ͽἀ-῿]")
 BLOCK = 480
@@ -74,7 +74,7 @@ def measure(block: str, glue: frozenset[str] = GLUE) -> tuple:
     counts = Counter(words)
     n_glue = sum(counts[w] for w in counts.keys() & glue)
     top = max((n for w, n in counts.items() if w not in glue), default=0)
-    return len(block), len(raw), len(zlib.compress(raw, 6)) - 8, len(words), len((GREEK_END if greek else END).findall(block)), n_glue, top, greek
+    return len(block), len(raw), len(zlib.compress(raw, 6)) - 8, len(words), len((GREEK_END if greek else END).findall("\n" + block)), n_glue, top, greek
 
 
 def block_measures(df: DataFrame, id_col: str, text_col: str, glue: frozenset[str] = GLUE) -> DataFrame:
