@@ -46,7 +46,7 @@ _CTE: dict[str, str] = {
     "cur": f"select file_name, line_no, regexp_replace(raw, '\\r$', '') line from {_valid('conllu_raw', 'file_name, line_no', 'loaded_at desc, raw desc, line_id desc')}",
     "tb0": "select *, sum(case when trim(line) = '' then 1 else 0 end) over (partition by file_name order by line_no) sent_no, string_split(line, chr(9)) f from cur",
     "tb": """select file_name, line_no, cast(sent_no as integer) sent_no, cast(f[1] as integer) local_id, nfc_normalize(f[2]) form, nfc_normalize(case when f[3] = '_' then f[2] else f[3] end) lemma, case when f[4] = '_' then 'X' else f[4] end upos, f[5] xpos,
-      case when f[6] = '_' then '' else f[6] end morph, case when regexp_full_match(f[7], '[+-]?[0-9]+') then cast(f[7] as integer) else 0 end head, f[8] udrel, case when contains(f[10], 'SpaceAfter=No') then '' else ' ' end after_text, case when regexp_full_match(f[7], '[+-]?0*[1-9][0-9]*') then 0 else 1 end is_root,
+      case when f[6] = '_' then '' else f[6] end morph, case when regexp_full_match(trim(f[7]), '[+-]?[0-9]+') then cast(trim(f[7]) as integer) else 0 end head, f[8] udrel, case when contains(f[10], 'SpaceAfter=No') then '' else ' ' end after_text, case when regexp_full_match(trim(f[7]), '[+-]?0*[1-9][0-9]*') then 0 else 1 end is_root,
       regexp_extract(f[10], 'Ref=([^|\\s]+)', 1) ref from tb0 where trim(line) <> '' and not starts_with(line, '#') and len(f) >= 10 and regexp_full_match(f[1], '[0-9]+')""",
     "tbr": """select * exclude (ref), case when p then regexp_extract(ref, '^([A-Z0-9]+)_', 1) end book_code, case when p then cast(regexp_extract(ref, '_(\\d+)\\.', 1) as integer) end chapter, case when p then cast(regexp_extract(ref, '\\.(\\d+)$', 1) as integer) end verse
       from (select *, regexp_full_match(ref, '[A-Z0-9]+_\\d+\\.\\d+') p from tb)""",
