@@ -1,13 +1,13 @@
 """Keyword-stuffed and link-list pages: texts that repeat keywords, links or product tags instead of saying something.
 
-A text is cut into blocks of lines, and each block is compressed. Its compression ratio is divided by the median ratio of
-all blocks of the same script and length (measured over the whole corpus), which leaves its redundancy: 1 is usual, less is
-repetitive. A redundant block is confirmed by a low density of sentence punctuation, and by a low share of glue words
+A text is cut into blocks of lines, and each block is compressed. Its compression ratio is divided by the usual ratio of
+blocks of the same script and length, which leaves its redundancy: 1 is usual, less is repetitive. The usual ratio is
+measured over the whole corpus: the median over distinct texts, each with one vote for a script and length however many copies or blocks it has. It is
+never taken below that of plain prose (PROSE), so a source of spam that rules its lengths doesn't pass for usual. A redundant block is confirmed by a low density of sentence punctuation, and by a low share of glue words
 (articles, prepositions, conjunctions, pronouns), which tell a litany or genealogy from a list of keywords; where keywords
 are stuffed into sentences, one word that makes up much of the block confirms it instead. A text is spam if most of its characters stand in such blocks.
 
-One pass of Arrow batches measures the blocks and is written to the shared folder; the medians are one small aggregate of it, and
-the verdict is a join with them and one aggregation by text. No row depends on another text but through the medians.
+One pass of Arrow batches measures the blocks and is written to the shared folder; the medians are an aggregate of it by text, and the verdict is a join with them and one aggregation by text. No row depends on another text but through the medians.
 
 Defined results: null and blank texts are not spam; a text under min_words words (a link or tag counts as one) is not spam; every id with the text is
 reported; texts of any length are measured whole; an empty table gives no rows; further columns are not read.
@@ -21,7 +21,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stichos.common import written
@@ -42,8 +42,13 @@ END = re.compile("[.!?](?<=[\\w\"'”’)»][.!?])(?<!\n\\d[.!?])(?<!\n\\d\\d[.!
 GREEK_END = re.compile(r"(?<=[^\W\d_])\s?[.!?;··]")
 GREEK = re.compile(r"[Ͱ-Ͽἀ-῿]")
 BLOCK = 480
+#: Packed bytes a character of plain prose (medians of sf0.1; the last two carried on), by half powers of two of the length from PROSE_FROM
+#: on, and the share of them the usual ratio can't fall below. Other scripts take more bytes a character, so for them the first list is a low bound.
+PROSE = [1.0, 1.0, 0.978, 0.902, 0.81, 0.756, 0.691, 0.64, 0.598, 0.567, 0.53, 0.5]
+GREEK_PROSE = [1.89, 1.757, 1.674, 1.5, 1.355, 1.267, 1.126, 1.045, 0.983, 0.931, 0.9, 0.87]
+PROSE_FROM, PROSE_SHARE = 9, 0.95
 
-MEASURES = "n_chars int, n_bytes int, n_packed int, n_words int, n_ends int, n_glue int, n_top int, greek boolean"
+MEASURES = "copy bigint, n_chars int, n_bytes int, n_packed int, n_words int, n_ends int, n_glue int, n_top int, greek boolean"
 
 
 def blocks(text: str, size: int = BLOCK) -> Iterator[str]:
@@ -78,7 +83,7 @@ def measure(block: str, glue: frozenset[str] = GLUE) -> tuple:
 
 
 def block_measures(df: DataFrame, id_col: str, text_col: str, glue: frozenset[str] = GLUE) -> DataFrame:
-    """A row for each block of each text: id and MEASURES."""
+    """A row for each block of each text: id and MEASURES. copy: the hash of the text, the same for all its copies."""
 
     def run(batches):
         for batch in batches:
@@ -90,11 +95,19 @@ def block_measures(df: DataFrame, id_col: str, text_col: str, glue: frozenset[st
                             ids.append(at)
                             out.append(measure(b, glue))
             cols = list(zip(*out)) if out else [[] for _ in range(8)]
-            arrays = [batch.column(0).take(pa.array(ids, pa.int32())), *[pa.array(c, pa.int32()) for c in cols[:7]], pa.array(cols[7], pa.bool_())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_chars", "n_bytes", "n_packed", "n_words", "n_ends", "n_glue", "n_top", "greek"])
+            at = pa.array(ids, pa.int32())
+            arrays = [batch.column(0).take(at), batch.column(2).take(at), *[pa.array(c, pa.int32()) for c in cols[:7]], pa.array(cols[7], pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "copy", "n_chars", "n_bytes", "n_packed", "n_words", "n_ends", "n_glue", "n_top", "greek"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null").mapInArrow(run, f"id {kind}, {MEASURES}")
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("copy")).filter("text is not null").mapInArrow(run, f"id {kind}, {MEASURES}")
+
+
+def prose_ratio() -> Column:
+    """The least ratio that counts as usual for a block of its script and length."""
+    at = F.greatest(F.least(F.col("bucket").cast("int") - PROSE_FROM, F.lit(len(PROSE) - 1)), F.lit(0))
+    listed = lambda values: F.get(F.array(*map(F.lit, values)), at)
+    return PROSE_SHARE * F.when(F.col("greek"), listed(GREEK_PROSE)).otherwise(listed(PROSE)) * F.col("n_chars") / F.greatest("n_bytes", F.lit(1))
 
 
 def spam_scores(df: DataFrame, id_col: str, text_col: str, min_words: int = 12, share: float = 0.39, glue: frozenset[str] = GLUE) -> DataFrame:
@@ -103,8 +116,9 @@ def spam_scores(df: DataFrame, id_col: str, text_col: str, min_words: int = 12,
     bucket = F.round(2 * F.log2(F.col("n_chars") + 1))
     one = written(block_measures(df, id_col, text_col, glue), "spam-blocks").withColumns({"ratio": ratio, "bucket": bucket})
     # One row for each script and half power of two of the length of a block, which is bounded: a few dozen.
-    usual = one.groupBy("greek", "bucket").agg(F.percentile_approx("ratio", 0.5, 2000).alias("usual"))
-    red = F.col("ratio") / F.greatest(F.col("usual"), F.lit(0.01))
+    votes = one.groupBy("copy", "greek", "bucket").agg(F.avg("ratio").alias("ratio"))
+    usual = votes.groupBy("greek", "bucket").agg(F.percentile_approx("ratio", 0.5, 2000).alias("usual"))
+    red = F.col("ratio") / F.greatest(F.col("usual"), prose_ratio(), F.lit(0.01))
     words = F.greatest(F.col("n_words"), F.lit(1))
     ends, glue, top = F.col("n_ends") / words, F.col("n_glue") / words, F.col("n_top") / words
     spam = (

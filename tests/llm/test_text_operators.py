@@ -122,6 +122,18 @@ def test_spam(spark):
     assert spam.spam_pages(df.limit(0), "doc_id", "text").count() == 0
 
 
+@pytest.mark.parametrize("templated", [False, True])
+def test_spam_that_rules_its_lengths(spark, templated):
+    """A third of all rows is one stuffed text, or a source that fills in one template."""
+    r = random.Random(9)
+    stuffed = lambda: " ".join(f"Cheap lamp shop {r.choice(NOUNS)}. Buy a cheap lamp in the lamp shop today, cheap lamp sale for your home." for _ in range(30))
+    one = stuffed()
+    fine = [prose(r, 3) for _ in range(80)]
+    spam_ = [stuffed() if templated else one for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(spam_ + fine)), "doc_id long, text string")
+    assert {x.doc_id for x in spam.spam_pages(df, "doc_id", "text").collect()} == set(range(40))
+
+
 def test_blocks_keep_the_whole_text():
     r = random.Random(7)
     for text in (prose(r, 40), "a" * 5000, "x\n\ny\n\n" * 300, prose(r, 3).replace(". ", ".\n")):
