@@ -10,6 +10,8 @@ The lexicon (form to lemma by the treebank, lemma to glosses) is joined to the s
 decoding teach it the words that glosses lack, over all lines, and a second decoding gives the result. Chapters
 are cogrouped, after the lines of both layers are cut into overlapping windows of verses where a chapter has more than `lines` lines: a
 window is decoded by itself and keeps only its middle, so a chapter of many verses is not brought into one task. A verse is not cut.
+A line of such a chapter that has no verse, or no state in its window that would stand against all lines of the chapter, is searched in every
+window (lines with no verse make one more) and takes its best state; so lines moved or numbered otherwise are found at any distance.
 
 Defined results: null and blank lines pair with nothing; null chapters or slugs have no partner; notes and markup don't count as text;
 repeated deliveries count once, by their latest row; a chapter in one layer only gives nothing; empty tables give no rows;
@@ -85,17 +87,41 @@ class Model:
             shared[i] = ((table[:, once] > 0) * (0.15 + 0.85 * rare[once])).sum(axis=1)
         return out, null, shared
 
-    def decode(self, sources: list[dict[str, float]], sizes: list[float], unknown: list[float], targets: list[list[str]], verses: tuple[list[int], list[int]]) -> list[tuple[int, int]]:
-        """(source, target) pairs of one chapter. verses: of sources and of targets, a soft hint of place (-1: none)."""
+    def far(self, n_lines: int) -> float:
+        """Log odds against the null state from which a state stands at any place of a chapter: an even choice of its lines, and the moves there and back."""
+        return np.log(n_lines) + 6
+
+    def search(self, sources: list[dict[str, float]], sizes: list[float], unknown: list[float], targets: list[list[str]], chunk: int = 256) -> list[tuple[float, list[int]]]:
+        """For each target by itself: the log odds of its best state, wherever it stands, and the state's lines that share a word with it."""
+        n, out = len(sources), []
+        if not n:
+            return [(-np.inf, [])] * len(targets)
+        first, span = self.states(n)
+        for lo in range(0, len(targets), chunk):
+            emit, null, shared = self.emissions(sources, sizes, unknown, targets[lo : lo + chunk])
+            odds = emit + self.spans[span - 1] - null[:, None]
+            for i, at in enumerate(odds.argmax(axis=1)):
+                out.append((float(odds[i, at]), [int(j) for j in range(first[at], first[at] + span[at]) if shared[i, j] >= 1.0]))
+        return out
+
+    def states(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """First line and number of lines of each state."""
+        spans = range(1, min(self.max_span, n) + 1)
+        return np.concatenate([np.arange(n - s + 1) for s in spans]), np.concatenate([np.full(n - s + 1, s) for s in spans])
+
+    def decode(
+        self, sources: list[dict[str, float]], sizes: list[float], unknown: list[float], targets: list[list[str]], verses: tuple[list[int], list[int]], odds: list[float] | None = None,
+    ) -> list[tuple[int, int]]:
+        """(source, target) pairs of one chapter. verses: of sources and of targets, a soft hint of place (-1: none). odds: filled with those of each paired target."""
         n, m = len(sources), len(targets)
         if not n or not m:
             return []
         emit, null, shared = self.emissions(sources, sizes, unknown, targets)
-        first = np.concatenate([np.arange(n - s + 1) for s in range(1, min(self.max_span, n) + 1)])
-        span = np.concatenate([np.full(n - s + 1, s) for s in range(1, min(self.max_span, n) + 1)])
+        first, span = self.states(n)
         last = first + span - 1
         va, vb = np.array(verses[0]), np.array(verses[1])
         off = np.maximum(np.maximum(va[first][None, :] - vb[:, None], vb[:, None] - va[last][None, :]), 0)
+        told_by = emit
         emit = emit - 0.2 * np.minimum(np.where((va[first][None, :] < 0) | (vb[:, None] < 0), 0, off), 8)
         move = self.jumps(first[None, :] - last[:, None]) + self.spans[span - 1][None, :] + np.log(1 - self.null)
         stay = np.log(self.null)
@@ -117,6 +143,8 @@ class Model:
                 lines = range(first[at], last[at] + 1)
                 told = [j for j in lines if shared[i, j] >= 1.0] or ([j for j in lines if shared[i].max() < 1.0] if targets[i] else [])
                 pairs += [(int(j), i) for j in told]
+                if told and odds is not None:
+                    odds[i] = float(told_by[i, at] + self.spans[span[at] - 1] - null[i])
             at = back[i, at]
         return sorted(pairs)
 
@@ -164,18 +192,26 @@ def with_lexicon(source_words: DataFrame, entries: DataFrame) -> DataFrame:
     return told.groupBy("line_id").agg(ordered.alias("words")).select("line_id", F.col("words.form").alias("forms"), F.col("words.glosses").alias("glosses"))
 
 
+def n_windows(lines: int) -> Column:
+    """Windows of a chapter of n_lines."""
+    return F.ceil(F.col("n_lines") / F.lit(lines)).cast("int")
+
+
 def line_windows(df: DataFrame, lines: int, halo: int) -> DataFrame:
     """Adds window and core: the windows of a chapter a line belongs to, by its verse; chapters up to `lines` long have one.
 
-    The place of a line is its share of the verses up to the chapter's last verse, which both sides know; null verses lie first.
+    The place of a line is its share of the verses up to the chapter's last verse, which both sides know; in a chapter of more windows
+    null verses have one of their own, -1.
     """
     verse = F.coalesce(F.col("verse"), F.lit(0))
-    per = F.ceil(F.col("n_lines") / F.lit(lines))  # windows of the chapter
+    per = n_windows(lines)
     width = F.greatest(F.ceil((F.col("last_verse") + 1) / per), F.lit(1))
     home = F.least(F.floor(verse / width), per - 1).cast("int")
     lo = F.greatest(F.floor((verse - halo) / width), F.lit(0)).cast("int")
     hi = F.least(F.floor((verse + halo) / width), per - 1).cast("int")
-    return df.withColumn("window", F.explode(F.sequence(F.least(lo, home), F.greatest(hi, home)))).withColumn("core", F.col("window") == home)
+    placed = F.sequence(F.least(lo, home), F.greatest(hi, home))
+    own = F.col("verse").isNull() & (per > 1)
+    return df.withColumn("window", F.explode(F.when(own, F.array(F.lit(-1))).otherwise(placed))).withColumn("core", F.col("window") == home)
 
 
 def aligned_lines(
@@ -192,17 +228,18 @@ def aligned_lines(
     size = lambda df: df.groupBy("slug", "chapter").agg(F.count("*").alias("n"), F.max("verse").alias("v"))
     chapters = size(src).join(size(tgt).select("slug", "chapter", F.col("n").alias("n2"), F.col("v").alias("v2")), ["slug", "chapter"])
     chapters = written(chapters.select("slug", "chapter", F.greatest("n", "n2").alias("n_lines"), F.coalesce(F.greatest("v", "v2"), F.lit(0)).alias("last_verse")), "alignment-chapters")
-    groups = max(1, -(-(chapters.agg(F.coalesce(F.sum("n_lines"), F.lit(0))).first()[0]) // lines_per_group))
+    n_all, most = chapters.agg(F.coalesce(F.sum("n_lines"), F.lit(0)), F.coalesce(F.max("n_lines"), F.lit(0))).first()
+    groups = max(1, -(-n_all // lines_per_group))
     key = F.pmod(F.xxhash64("slug", "chapter", "window"), F.lit(groups))
     kinds = (source.schema["line_id"].dataType.simpleString(), target.schema["line_id"].dataType.simpleString())
     place = src.drop("text")
 
-    def decode(x: pa.Table, y: pa.Table) -> pa.Table:
+    def read(x: pa.Table, y: pa.Table):
+        """For each window of a bucket: source rows, target rows, and the source's words, sizes and unknown words."""
         by: dict[tuple, tuple[list, list]] = {}
         for at, table in ((0, x), (1, y)):
             for r in table.drop_columns(["bucket"]).to_pylist():
-                by.setdefault((r["slug"], r["chapter"], r["window"]), ([], []))[at].append(r)
-        left, right = [], []
+                by.setdefault((r["slug"], r["chapter"], r["window"], r.get("part")), ([], []))[at].append(r)
         for one, other in by.values():
             one.sort(key=lambda r: (r["verse"] or 0, r["line_no"] or 0, r["line_id"]))
             other.sort(key=lambda r: (r["verse"] or 0, r["line_no"] or 0, r["line_id"]))
@@ -223,16 +260,54 @@ def aligned_lines(
                 sources.append(can)
                 sizes.append(n)
                 unknown.append(blank)
-            for j, i in model.decode(sources, sizes, unknown, [r["forms"] for r in other], tuple([-1 if r["verse"] is None else r["verse"] for r in z] for z in (one, other))):
+            yield one, other, (sources, sizes, unknown)
+
+    def decode(x: pa.Table, y: pa.Table) -> pa.Table:
+        left, right, settled = [], [], []
+        for one, other, told in read(x, y):
+            odds = [-np.inf] * len(other)
+            for j, i in model.decode(*told, [r["forms"] for r in other], tuple([-1 if r["verse"] is None else r["verse"] for r in z] for z in (one, other)), odds):
                 if other[i]["core"]:
                     left.append(one[j]["line_id"])
                     right.append(other[i]["line_id"])
-        return pa.table({"source_id": pa.array(left, x.schema.field("line_id").type), "target_id": pa.array(right, y.schema.field("line_id").type)})
+                    settled.append(odds[i] >= model.far(other[i]["n_lines"]))
+        return pa.table({"source_id": pa.array(left, x.schema.field("line_id").type), "target_id": pa.array(right, y.schema.field("line_id").type), "settled": pa.array(settled, pa.bool_())})
+
+    def search(x: pa.Table, y: pa.Table) -> pa.Table:
+        left, right, best, window = [], [], [], []
+        for one, other, told in read(x, y):
+            for r, (odds, lines_) in zip(other, model.search(*told, [r["forms"] for r in other])):
+                if lines_ and odds >= model.far(r["n_lines"]):
+                    left.append([one[j]["line_id"] for j in lines_])
+                    right.append(r["line_id"])
+                    best.append(odds)
+                    window.append(r["window"])
+        return pa.table({"source_ids": pa.array(left, pa.list_(x.schema.field("line_id").type)), "target_id": pa.array(right, y.schema.field("line_id").type), "odds": pa.array(best, pa.float64()), "window": pa.array(window, pa.int32())})
 
     def align(entries: DataFrame) -> DataFrame:
         s = place.join(with_lexicon(word, entries), "line_id")
-        a, b = (line_windows(x.join(chapters, ["slug", "chapter"]), lines, halo).drop("n_lines", "last_verse").withColumn("bucket", key) for x in (s, tgt))
-        return a.groupBy("bucket").cogroup(b.groupBy("bucket")).applyInArrow(decode, f"source_id {kinds[0]}, target_id {kinds[1]}")
+        a, b = (line_windows(x.join(chapters, ["slug", "chapter"]), lines, halo).drop("last_verse").withColumn("bucket", key) for x in (s, tgt))
+        a = a.drop("n_lines")
+        if most > lines:
+            a, b = written(a, "alignment-windows"), b.filter("window >= 0")
+        near = a.groupBy("bucket").cogroup(b.groupBy("bucket")).applyInArrow(decode, f"source_id {kinds[0]}, target_id {kinds[1]}, settled boolean")
+        if most <= lines:
+            return near.drop("settled")
+        near = written(near, "alignment-near")
+        rest = tgt.join(chapters.filter(F.col("n_lines") > lines), ["slug", "chapter"]).drop("last_verse").join(near.filter("settled").select(F.col("target_id").alias("line_id")).distinct(), "line_id", "left_anti")
+        rest = written(rest, "alignment-rest")
+        # The lines searched in a window are shared out if they are many; each share gets the window's source lines.
+        parts = rest.groupBy("slug", "chapter").agg(F.ceil(F.count("*") / F.lit(10 * lines_per_group)).cast("int").alias("parts"), F.first(n_windows(lines)).alias("windows"), F.count("*").alias("n_rest"))
+        parts = written(parts, "alignment-parts")
+        n_rest = parts.agg(F.coalesce(F.sum(F.col("n_rest") * (F.col("windows") + 1)), F.lit(0))).first()[0]
+        bucket = F.pmod(F.xxhash64("slug", "chapter", "window", "part"), F.lit(max(1, -(-(n_rest + n_all) // lines_per_group))))
+        y = rest.join(parts, ["slug", "chapter"]).withColumn("part", F.pmod(F.xxhash64("line_id"), F.col("parts")).cast("int")).withColumn("window", F.explode(F.sequence(F.lit(-1), F.col("windows") - 1)))
+        x = a.join(parts, ["slug", "chapter"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        x, y = (z.drop("parts", "windows", "n_rest").withColumn("bucket", bucket) for z in (x, y))
+        far = x.groupBy("bucket").cogroup(y.groupBy("bucket")).applyInArrow(search, f"source_ids array<{kinds[0]}>, target_id {kinds[1]}, odds double, window int")
+        far = written(far.groupBy("target_id").agg(F.max_by("source_ids", F.struct("odds", -F.col("window"))).alias("source_ids")), "alignment-far")
+        found = far.select(F.explode("source_ids").alias("source_id"), "target_id")
+        return near.drop("settled").join(far.select("target_id"), "target_id", "left_anti").select("source_id", "target_id").unionByName(found)
 
     entries = gloss_lexicon(glossary)
     if learn:

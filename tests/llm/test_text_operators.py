@@ -194,6 +194,23 @@ def test_alignment(spark, hot):
     assert alignment.aligned_lines(src, tgt.limit(0), words, gloss).count() == 0
 
 
+def test_windows_reach_lines_with_no_verse_and_lines_moved_far(spark):
+    """A chapter in windows: sources and targets with a null verse, and lines moved far, pair as the others do."""
+    r = random.Random(10)
+    n = 300
+    lines = [r.sample(NOUNS, 5) for _ in range(n)]
+    lost = {150, 200, 280}
+    moved = {k: n - k for k in (20, 40, 60)}  # stand in a far verse
+    schema = "line_id long, slug string, chapter int, verse int, line_no int, text string, loaded_at timestamp"
+    src = spark.createDataFrame([(k, "b", 1, None if k in (100, 260) else k + 1, 1, " ".join("σ" + w for w in ws), None) for k, ws in enumerate(lines)], schema)
+    tgt = spark.createDataFrame([(1000 + k, "b", 1, None if k in lost else moved.get(k, k + 1), 2 if k in moved else 1, "The " + " ".join(ws), None) for k, ws in enumerate(lines)], schema)
+    words = spark.createDataFrame([("σ" + w, "λ" + w) for w in NOUNS], "form string, lemma string")
+    gloss = spark.createDataFrame([("λ" + w, w) for w in NOUNS], "lemma string, gloss string")
+    got = {tuple(x) for x in alignment.aligned_lines(src, tgt, words, gloss, lines=60).collect()}
+    assert {(k, 1000 + k) for k in lost | set(moved) | {100, 260}} <= got
+    assert len(got & {(k, 1000 + k) for k in range(n)}) >= 0.98 * n and len(got) <= 1.02 * n
+
+
 def test_names_are_spelled():
     assert alignment.spelled("Θογουκον") == "thogukon" and alignment.spelled("Ἀβραάμ") == "abraam"
 
