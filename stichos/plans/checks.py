@@ -47,10 +47,17 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return tree.filter("status <> 'rooted'").select("sent_id", "local_id", "status", F.col("top").alias("top_local"), "steps")
 
 
-def p2_hierarchy(spark: SparkSession, d: str) -> DataFrame:
-    tree = hierarchy.hierarchy(valid_words(spark, d), ["sent_id"], "local_id", "head", lists=True).filter("status = 'rooted'")
+def p2_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Path and descendants of every valid word. The path begins at the root, at the detached top, or at the first word on the cycle; the
+    cycle is cut there, so the descendants of a word on it are those that hang below it outside the cycle."""
+    tree = hierarchy.hierarchy(valid_words(spark, d), ["sent_id"], "local_id", "head", lists=True)
     text = lambda c: F.array_join(F.col(c).cast("array<string>"), "/")
-    return tree.select("sent_id", "local_id", F.col("top").alias("root_local"), F.col("steps").alias("depth"), text("path").alias("path"), "n_below", F.array_join(F.array_sort("descendants").cast("array<string>"), ",").alias("descendants"))
+    return tree.select("sent_id", "local_id", "status", F.col("top").alias("top_local"), F.col("steps").alias("depth"), text("path").alias("path"), "n_below", F.array_join(F.array_sort("descendants").cast("array<string>"), ",").alias("descendants"))
+
+
+def p2_hierarchy(spark: SparkSession, d: str) -> DataFrame:
+    """The part of p2_paths below a root."""
+    return p2_paths(spark, d).filter("status = 'rooted'").drop("status").withColumnRenamed("top_local", "root_local")
 
 
 def conllu(spark: SparkSession, d: str) -> DataFrame:
@@ -88,7 +95,7 @@ def p5_cells(spark: SparkSession, d: str) -> DataFrame:
     return cells(spark, d).select("line_id", "diff", "current_value", "snapshot_value")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_cascade, p2_found, p2_hierarchy, p3_found, p3_clean, p3_rejects, p5_found, p5_cells)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_cascade, p2_found, p2_hierarchy, p2_paths, p3_found, p3_clean, p3_rejects, p5_found, p5_cells)}
 
 _DIRECT = """
 v as (select ref, arg_max(deleted_at is not null, loaded_at) gone, min(loaded_at) arrived from verse where ref is not null group by ref),

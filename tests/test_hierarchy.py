@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from stichos.operators import hierarchy as H
+from stichos.plans import checks
 
 SCHEMA = "sent_id string, local_id int, head int, top string"
 
@@ -102,3 +103,14 @@ def test_a_wide_parent_by_joins(spark):
     got = {r.local_id: r for r in H.hierarchy(spark.createDataFrame(rows, SCHEMA), ["sent_id"], "local_id", "head", max_tree_rows=100).collect()}
     assert {k: (r.status, r.top, r.steps) for k, r in got.items()} == {i: v for (_, i), v in brute([r[:3] for r in rows]).items()}
     assert got[1].n_below == 899 and got[5].n_below == 1 and got[900].steps == 2
+
+
+def test_every_word_has_a_path(spark, tmp_path):
+    rows = [("r", 1, 0), ("r", 2, 1), ("d", 1, None), ("d", 2, 1), ("d", 3, 9), ("c", 1, 2), ("c", 2, 1), ("c", 3, 2), ("c", 4, 3)]
+    spark.createDataFrame([(*r, None) for r in rows], "sent_id string, local_id int, head int, loaded_at timestamp").write.parquet(f"{tmp_path}/word.parquet")
+    got = {(r.sent_id, r.local_id): (r.status, r.top_local, r.path, r.descendants) for r in checks.QUERIES["p2_paths"](spark, str(tmp_path)).collect()}
+    assert got == {
+        ("r", 1): ("rooted", 1, "1", "2"), ("r", 2): ("rooted", 1, "1/2", ""), ("d", 1): ("detached", 1, "1", "2"), ("d", 2): ("detached", 1, "1/2", ""), ("d", 3): ("detached", 3, "3", ""),
+        ("c", 1): ("cycle", 1, "1", ""), ("c", 2): ("cycle", 1, "2", "3,4"), ("c", 3): ("below_cycle", 1, "2/3", "4"), ("c", 4): ("below_cycle", 1, "2/3/4", ""),
+    }
+    assert {(r.sent_id, r.local_id) for r in checks.p2_hierarchy(spark, str(tmp_path)).collect()} == {("r", 1), ("r", 2)}
