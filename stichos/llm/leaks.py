@@ -9,7 +9,8 @@ a candidate, which an exact weighted alignment in order (words matched, replaced
 are put together in the item's order.
 
 The items are a held-out set whose index every task gets; its size is checked (max_item_words) and a larger set is done in slices, each
-with its own pass. Documents are never shuffled: a pass is a map over the scan, so no source or group of copies is hot.
+with its own pass. The words' weights are counted over all items by one aggregate and every slice gets the same table, so slices change no
+result; the table holds the vocabulary of all items. Documents are never shuffled: a pass is a map over the scan, so no source or group of copies is hot.
 
 Defined results: null and blank texts hold nothing; an item under min_words words can't be found; letter case, accents,
 markup, numbers and words divided at a line's end don't count; repeated items are found each by its own id; texts of
@@ -69,24 +70,47 @@ class Settings:
     max_item_words: int = 2_000_000
 
 
+def word_weights(of_word: dict[str, dict[str, int]], of_lang: dict[str, int]) -> dict[str, float]:
+    """Weight of each word, from the items of each language and those of them that have the word."""
+    return {w: max(0.06, min(np.log(1 + of_lang[g] / k) / np.log(1 + of_lang[g]) for g, k in by.items())) for w, by in of_word.items()}
+
+
+def count_words(rows: DataFrame) -> dict[str, float]:
+    """word_weights of all items (g, t), counted in the cluster; the vocabulary comes to the driver."""
+
+    def run(batches):
+        for batch in batches:
+            told = [(g or "", w) for g, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w in set(words(t))]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in told], pa.string()) for k in (0, 1)], names=["g", "w"])
+
+    of_lang = {r.g: r.n for r in rows.groupBy(F.coalesce("g", F.lit("")).alias("g")).agg(F.count("*").alias("n")).collect()}
+    of_word: dict[str, dict[str, int]] = defaultdict(dict)
+    for r in rows.select("g", "t").mapInArrow(run, "g string, w string").groupBy("w", "g").agg(F.count("*").alias("n")).collect():
+        of_word[r.w][r.g] = r.n
+    return word_weights(of_word, of_lang)
+
+
 class Index:
     """The items: coded words, weights, and the fingerprints of all their windows by block."""
 
-    def __init__(self, items: list[tuple[object, str, str]], s: Settings):
+    def __init__(self, items: list[tuple[object, str, str]], s: Settings, weights: dict[str, float] | None = None):
+        """weights: of the words of all items, where items is a slice of them."""
         self.s, self.ids = s, [i for i, _, _ in items]
         tokens = [words(t or "") for _, _, t in items]
-        of_lang: dict[str, int] = defaultdict(int)
-        seen: dict[str, dict[str, set]] = defaultdict(lambda: defaultdict(set))
-        for k, ((_, lang, _), ws) in enumerate(zip(items, tokens)):
-            of_lang[lang] += 1
-            for w in set(ws):
-                seen[w][lang].add(k)
-        self.code = {w: n + 1 for n, w in enumerate(sorted(seen))}
+        if weights is None:
+            of_lang: dict[str, int] = defaultdict(int)
+            of_word: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
+            for (_, lang, _), ws in zip(items, tokens):
+                of_lang[lang] += 1
+                for w in set(ws):
+                    of_word[w][lang] += 1
+            weights = word_weights(of_word, of_lang)
+        self.code = {w: n + 1 for n, w in enumerate(sorted(weights))}
         self.weight = np.zeros(len(self.code) + 1, np.float32)
-        for w, by in seen.items():
-            self.weight[self.code[w]] = max(0.06, min(np.log(1 + of_lang[g] / len(k)) / np.log(1 + of_lang[g]) for g, k in by.items()))
+        for w, weight in weights.items():
+            self.weight[self.code[w]] = weight
         self.items = [np.array([self.code[w] for w in ws], np.int32) for ws in tokens]
-        bits = np.array([xxhash.xxh64_intdigest(w, seed=7) for w in sorted(seen)], np.uint64)
+        bits = np.array([xxhash.xxh64_intdigest(w, seed=7) for w in self.code], np.uint64)
         signs = np.unpackbits(bits.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int16) * 2 - 1
         self.vectors = np.zeros((len(self.code) + 1, 64), np.int16)
         if len(bits):
@@ -255,13 +279,14 @@ def leaked_passages(docs: DataFrame, doc_id: str, text: str, items: DataFrame, i
     kinds = (docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString())
     item_type = to_arrow_type(items.schema[item_id].dataType)
     out = None
+    weights = docs.sparkSession.sparkContext.broadcast(count_words(rows) if slices > 1 else None)
     for k in range(slices):
         part = rows if slices == 1 else rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(slices)) == k)
         # At most max_item_words words come to the driver and go to the tasks.
         held = docs.sparkSession.sparkContext.broadcast(sorted(((r.i, r.g or "", r.t) for r in part.collect()), key=repr))
 
         def run(batches, held=held):
-            index = Index(held.value, s)
+            index = Index(held.value, s, weights.value)
             get = index.code.get
             ids = pa.array(index.ids, item_type)
             for batch in batches:

@@ -63,6 +63,16 @@ def test_leaks(spark):
     assert leaks.leaked_passages(d, "doc_id", "text", i.limit(0), "item_id", "text", "lang").count() == 0
 
 
+def test_slices_change_no_result(spark):
+    item, other, docs = documents(random.Random(2))
+    r = random.Random(3)
+    d = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    rows = [(7, "en", " ".join(item)), (8, "en", " ".join(other)), (9, None, None), (10, "en", ""), (11, "en", " ".join(item)), (12, None, " ".join(passage(r, 40)))] + [(20 + k, "grc", " ".join(passage(r, 40))) for k in range(6)]
+    i = spark.createDataFrame(rows, "item_id long, lang string, text string")
+    run = lambda s: sorted((x.doc_id, x.item_id, x.n_words, round(x.score, 4)) for x in leaks.leaked_passages(d, "doc_id", "text", i, "item_id", "text", "lang", s).collect())
+    assert run(leaks.Settings(max_item_words=50)) == run(leaks.Settings()) != []
+
+
 def test_plain_words():
     assert leaks.words("\\add The\\add* μῆ͂νιν par-\ndoned <i>x</i> 3:4 \\f + \\ft Or, y.\\f* ΛΟΓΟΣ") == ["the", "μηνιν", "pardoned", "x", "λογοσ"]
 
