@@ -84,7 +84,7 @@ def skipped_refs(spark, d):
 def safe_cast(spark, d):
     x = read_table(spark, d, "conllu_raw", "line_id", "raw").filter(~F.col("raw").startswith("#"))
     cell = F.get(F.split("raw", "\t", -1), F.lit(0))
-    return x.select("line_id", F.when(cell.rlike(r"^[0-9]{1,9}$"), cell.try_cast("int")).alias("number"))
+    return x.select("line_id", F.when(cell.rlike(r"\A[0-9]+\z"), cell.try_cast("int")).alias("number"))
 
 
 def morph_features(spark, d):

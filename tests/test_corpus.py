@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stichos.functions import text as X
 from stichos.operators import align, gates, render, segment
+from stichos.plans import corpus
 from stichos.sources import files, sinks
 
 
@@ -170,3 +171,10 @@ def test_function_lines_fold(spark):
 
 def test_segment_empty(spark):
     assert segment.segment(spark.createDataFrame([], WORDS)).count() == 0
+
+
+def test_safe_cast_takes_every_int(spark, tmp_path):
+    cells = ["1", "1000000000", "2147483647", "2147483648", "000000000012", "1-2", "-3", "", "7\n"]
+    spark.createDataFrame([(k, f"{c}\tx") for k, c in enumerate(cells)], "line_id long, raw string").write.parquet(f"{tmp_path}/conllu_raw.parquet")
+    got = {r.line_id: r.number for r in corpus.safe_cast(spark, str(tmp_path)).collect()}
+    assert [got[k] for k in range(len(cells))] == [1, 1000000000, 2147483647, None, 12, None, None, None, None]
