@@ -20,6 +20,14 @@ def chapter_text(lines: DataFrame, chapter: list[str], verse: str, order: list[s
     return v.groupBy(*chapter).agg(ordered_join([verse], block, "\n").alias("body"))
 
 
+def console_text(lines: DataFrame, chapter: list[str], verse: str, order: list[str], header: Column, ref: Column, text: str) -> DataFrame:
+    """chapter.., body: the header and a blank line, then each verse's ref once and its lines indented by two, verses parted by a blank line."""
+    line = F.concat(F.lit("  "), F.coalesce(F.col(text), F.lit("")))
+    v = lines.withColumns({"__header": header, "__ref": ref}).groupBy(*chapter, "__header", verse, "__ref").agg(F.concat("__ref", F.lit("\n"), ordered_join(order, line, "\n"), F.lit("\n")).alias("__b"))
+    body = v.groupBy(*chapter, "__header").agg(ordered_join([verse], F.col("__b"), "\n").alias("__body"))
+    return body.select(*chapter, F.concat("__header", F.lit("\n\n"), "__body").alias("body"))
+
+
 def chapter_html(pairs: DataFrame, book: list[str], chapter: str, verse: str, slot: str = "slot", parity: bool = False) -> DataFrame:
     """book.., chapter, html. pairs: left_text and right_text by slot, as align.line_left_join makes them."""
     n = F.col(chapter)

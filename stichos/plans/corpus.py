@@ -287,6 +287,17 @@ def coverage_json(spark, d):
     return x.select(F.to_json(F.struct(F.col("a").alias("tf_verses"), F.col("b").alias("eng_aligned"), (F.col("a") - F.col("b")).alias("eng_mismatches_total"))).alias("report"))
 
 
+def coverage_report(spark, d):
+    """coverage_json with the missing refs of each book, as the reference's report has them: one row, with a ref for each verse without English."""
+    b = bilingual(spark, d)
+    ref = F.concat(F.col("chapter").cast("string"), F.lit(":"), F.col("verse").cast("string"))
+    counts = b.agg(F.count("*").alias("a"), F.count_if("aligned").alias("b"))
+    gaps = b.filter(~F.col("aligned")).groupBy("slug").agg(F.transform(F.array_sort(F.collect_list(F.struct("chapter", "verse", ref.alias("r")))), lambda x: x["r"]).alias("refs"))
+    by_book = gaps.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("slug", "refs")))).alias("by_book"))
+    fields = [F.col("a").alias("tf_verses"), F.col("b").alias("eng_aligned"), (F.col("a") - F.col("b")).alias("eng_mismatches_total"), F.col("by_book").alias("eng_mismatches_by_book")]
+    return counts.crossJoin(by_book).select(F.to_json(F.struct(*fields)).alias("report"))
+
+
 def any_english(spark, d):
     return bilingual(spark, d).groupBy("slug").agg(F.bool_or("aligned").cast("int").alias("has_english"))
 
@@ -415,7 +426,7 @@ _ALL = (
     line_slots, fill_forward, treebank_tokens, sentence_ordinal, key_listing, ref_once, event_runs,
     level_counts, section_rollup, verse_text, verse_forms, first_seen, last_wins, quantifiers,
     governor_inner, governor_left, children_exists, layer_left_join, line_align, snapshot_full_outer, missing_anti, cross_verse_edges, book_names, clause_heads_of_content_verbs,
-    key_remap, first_line_placement, coverage_by_book, refs_missing, coverage_json, any_english,
+    key_remap, first_line_placement, coverage_by_book, refs_missing, coverage_json, coverage_report, any_english,
     ancestor_closure, subtree_facts, nearest_clause_head, bind_rules, unit_roots, phrase_breaks, sense_lines, sense_lines_text,
     gate_roundtrip, gate_segment, gate_snapshot, gate_source, gate_edges, first_mismatches,
     chapter_text, chapter_html, book_html, layer_search,

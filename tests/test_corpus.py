@@ -178,3 +178,19 @@ def test_safe_cast_takes_every_int(spark, tmp_path):
     spark.createDataFrame([(k, f"{c}\tx") for k, c in enumerate(cells)], "line_id long, raw string").write.parquet(f"{tmp_path}/conllu_raw.parquet")
     got = {r.line_id: r.number for r in corpus.safe_cast(spark, str(tmp_path)).collect()}
     assert [got[k] for k in range(len(cells))] == [1, 1000000000, 2147483647, None, 12, None, None, None, None]
+
+
+def test_coverage_report_lists_refs_by_book(spark, tmp_path):
+    schema = "line_id long, slug string, chapter int, verse int, line_no int, text string, loaded_at timestamp"
+    greek = [(1, "b", 1, 1), (2, "b", 1, 2), (3, "b", 10, 1), (4, "b", 2, 1), (5, "a", 1, 1), (6, "c", 1, 1)]
+    english = [(1, "b", 1, 1, "x"), (2, "b", 1, 2, " "), (3, "c", 1, 1, "y")]
+    spark.createDataFrame([(*g, 1, "g", None) for g in greek], schema).write.parquet(f"{tmp_path}/grk_lines.parquet")
+    spark.createDataFrame([(*e[:4], 1, e[4], None) for e in english], schema).write.parquet(f"{tmp_path}/eng_brenton_lines.parquet")
+    (row,) = corpus.QUERIES["coverage_report"](spark, str(tmp_path)).collect()
+    assert row.report == '{"tf_verses":6,"eng_aligned":2,"eng_mismatches_total":4,"eng_mismatches_by_book":{"a":["1:1"],"b":["1:2","2:1","10:1"]}}'
+
+
+def test_console_text(spark):
+    df = spark.createDataFrame([("GEN", 1, 2, 1, "c"), ("GEN", 1, 1, 2, "b"), ("GEN", 1, 1, 1, "a"), ("GEN", 1, 10, 1, None)], "book string, chapter int, verse int, line_no int, text string")
+    got = render.console_text(df, ["book", "chapter"], "verse", ["line_no"], F.concat(F.lit("=== "), "book", F.lit(" "), F.col("chapter").cast("string"), F.lit(" ===")), F.concat(F.col("chapter").cast("string"), F.lit(":"), F.col("verse").cast("string")), "text").first()
+    assert got.body == "=== GEN 1 ===\n\n1:1\n  a\n  b\n\n1:2\n  c\n\n1:10\n  \n"
