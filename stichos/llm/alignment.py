@@ -101,7 +101,8 @@ class Model:
             emit, null, shared = self.emissions(sources, sizes, unknown, targets[lo : lo + chunk])
             odds = emit + self.spans[span - 1] - null[:, None]
             for i, at in enumerate(odds.argmax(axis=1)):
-                out.append((float(odds[i, at]), [int(j) for j in range(first[at], first[at] + span[at]) if shared[i, j] >= 1.0]))
+                told = [int(j) for j in range(first[at], first[at] + span[at]) if shared[i, j] >= 1.0]
+                out.append((float(odds[i, at]), list(range(told[0], told[-1] + 1)) if told else told))
         return out
 
     def states(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,6 +143,8 @@ class Model:
             if at < k:
                 lines = range(first[at], last[at] + 1)
                 told = [j for j in lines if shared[i, j] >= 1.0] or ([j for j in lines if shared[i].max() < 1.0] if targets[i] else [])
+                # A line between lines of the state that share a word belongs to it.
+                told = list(range(told[0], told[-1] + 1)) if told else told
                 pairs += [(int(j), i) for j in told]
                 if told and odds is not None:
                     odds[i] = float(told_by[i, at] + self.spans[span[at] - 1] - null[i])

@@ -221,6 +221,16 @@ def test_windows_reach_lines_with_no_verse_and_lines_moved_far(spark):
     assert len(got & {(k, 1000 + k) for k in range(n)}) >= 0.98 * n and len(got) <= 1.02 * n
 
 
+def test_the_middle_line_of_a_state_is_paired():
+    """Three lines joined; the middle one has no known word."""
+    w = [f"w{k}" for k in range(12)]
+    sources = [{w[0]: 1.0, w[1]: 1.0, w[2]: 1.0}, {}, {w[3]: 1.0, w[4]: 1.0, w[5]: 1.0}, {w[6]: 1.0, w[7]: 1.0, w[8]: 1.0}]
+    sizes, unknown = [3.0, 2.0, 3.0, 3.0], [0.0, 2.0, 0.0, 0.0]
+    targets = [[*w[:3], "zza", "zzb", *w[3:6]], w[6:9]]
+    assert alignment.Model().decode(sources, sizes, unknown, targets, ([1, 2, 3, 4], [1, 4])) == [(0, 0), (1, 0), (2, 0), (3, 1)]
+    assert alignment.Model().search(sources, sizes, unknown, targets[:1])[0][1] == [0, 1, 2]
+
+
 def test_names_are_spelled():
     assert alignment.spelled("Θογουκον") == "thogukon" and alignment.spelled("Ἀβραάμ") == "abraam"
 
