@@ -12,7 +12,7 @@ from stichos.llm import alignment, leaks, packing, spam
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return spam.spam_pages(read_table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
+    return spam.spam_pages(read_table(spark, d, "documents", "doc_id", "text", "lang"), "doc_id", "text", "lang")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

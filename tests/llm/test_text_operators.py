@@ -144,6 +144,28 @@ def test_spam_that_rules_its_lengths(spark, templated):
     assert {x.doc_id for x in spam.spam_pages(df, "doc_id", "text").collect()} == set(range(40))
 
 
+def test_verse_without_full_stops_is_not_spam(spark):
+    """Verse in a language with no label of its own; the lines repeat a small vocabulary, but each is a line of running words."""
+    r = random.Random(12)
+    names, kinds, does = "Haus Baum Himmel Garten Vogel Licht Stein Wasser Feld Wind".split(), "alte stille helle dunkle ferne tiefe".split(), "singt liegt weht ruht leuchtet".split()
+    verse = lambda end: "\n".join(f"{r.choice(['und', 'doch', 'wo'])} der {r.choice(kinds)} {r.choice(names)} {r.choice(['über', 'unter'])} dem {r.choice(names)} {r.choice(does)}{end}" for _ in range(24))
+    rows = [(k, verse("." if k % 2 else ""), None) for k in range(10)] + [(100 + k, prose(r, 12), r.choice(["en", "EN-gb"])) for k in range(40)] + [(200, "Lampe kaufen " * 80, "de"), (201, verse(""), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {x.doc_id for x in spam.spam_pages(df, "doc_id", "text", "lang").collect()} == {200}
+
+
+def test_languages_are_told_from_the_text(spark):
+    r = random.Random(13)
+    greek = lambda: " ".join("".join(r.choice("αβγδεικλμνοπρστω") for _ in range(r.randint(2, 8))) for _ in range(60))
+    rows = [(k, prose(r, 6) if k % 2 else greek(), ["grc", "En "][k % 2]) for k in range(80)] + [(100, greek(), "en"), (101, None, "en"), (102, "x", None), (103, greek(), "mul"), (104, prose(r, 2), "xx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    table = spam.language_model(df, "doc_id", "text", "lang", 1000)
+    assert table.shape == (1, 1 << 16)
+    assert [spam.measure(t, table)[6] for t in (prose(r, 3), greek(), "", "z")] == [0, 1, 0, 0]
+    assert spam.language_model(df.filter("lang = 'grc'"), "doc_id", "text", "lang", 1000) is None
+    assert spam.language_model(df.limit(0), "doc_id", "text", "lang", 1000) is None
+
+
 def test_blocks_keep_the_whole_text():
     r = random.Random(7)
     for text in (prose(r, 40), "a" * 5000, "x\n\ny\n\n" * 300, prose(r, 3).replace(". ", ".\n")):
