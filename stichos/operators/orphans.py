@@ -2,9 +2,11 @@
 
 Tables and references form a foreign-key graph. Round 0 of the fixpoint finds the direct orphans of every reference.
 Then the orphans cascade down the graph by semi-joins: the children of orphaned rows are inherited orphans, and so are
-theirs, until no row is new. A table's references to itself make chains of any depth; each round squares the reference, so
-their number is the logarithm of the depth. Joins are on whole keys, so no key holds a task up; the rows of a round are
-written to the shared folder, and broadcast only if their count is small.
+theirs, until no row is new and no row comes nearer to a direct orphan; each semi-join brings the steps to the nearest one along. A
+table's references to itself make chains of any depth; each round squares the reference, so their number is the
+logarithm of the depth, and carries only rows that are not settled and still have something above them: a chain that ended is in no
+further join, and no join has a null key. The rows of a round are written to the shared folder. Joins are on whole keys; a key that many rows
+point at is split by AQE's skew join, as the pointing rows are always the side that may be split.
 
 Defined results: a null in any column of a reference is no reference; repeated deliveries of a key count once, as its
 latest row; a key with a null column cannot be named by a row key and is neither pointing row nor target; empty
@@ -15,13 +17,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stichos.common import month, small_side, written
-
-DIRECT = "src string, row_key string, field string, period string, kind string"
+from stichos.common import latest_rows, month, written
 
 
 @dataclass(frozen=True)
@@ -36,16 +37,17 @@ class Table:
     deleted: str | None = None
 
     def state(self) -> DataFrame:
-        """A row for each key: k0.., c_<column> of the valid row, loaded (latest), arrived (earliest), deleted.
+        """A row for each key: k0.., c_<column> of the valid row, loaded (latest), arrived (earliest), gone (deleted).
 
-        One grouping with map-side combine gives both the valid row and the time of arrival.
+        The valid row is ranked and the arrival aggregated over the same keys, both cut down before the shuffle, so the join of the two needs none.
         """
         gone = F.col(self.deleted).isNotNull() if self.deleted else F.lit(False)
-        row = F.struct(F.col(self.loaded).alias("at"), *[F.col(c).alias(f"c_{c}") for c in self.columns], gone.alias("gone"))
-        keys = [F.col(k).alias(f"k{i}") for i, k in enumerate(self.key)]
+        names = [f"k{i}" for i in range(len(self.key))]
+        keys = [F.col(k).alias(n) for k, n in zip(self.key, names)]
         known = self.rows.filter(" and ".join(f"`{k}` is not null" for k in self.key))
-        out = known.groupBy(*keys).agg(F.max(row).alias("r"), F.min(self.loaded).alias("arrived"))
-        return out.select(*[f"k{i}" for i in range(len(keys))], *[F.col(f"r.c_{c}") for c in self.columns], F.col("r.at").alias("loaded"), "arrived", F.col("r.gone").alias("gone"))
+        rows = known.select(*keys, *[F.col(c).alias(f"c_{c}") for c in self.columns], F.col(self.loaded).alias("loaded"), gone.alias("gone"))
+        arrived = known.groupBy(*keys).agg(F.min(self.loaded).alias("arrived"))
+        return latest_rows(rows, names, "loaded").join(arrived, names)
 
     def row_key(self) -> Column:
         return F.concat_ws("#", *[F.col(f"k{i}").cast("string") for i in range(len(self.key))])
@@ -87,7 +89,7 @@ def _on(a: DataFrame, b: DataFrame, n: int, left: str, right: str) -> Column:
 
 
 def direct_orphans(tables: Sequence[Table], refs: Sequence[Reference], states: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Round 0: src, row_key, field, period (month of the pointing row), kind: missing, deleted or late, the first that fits."""
+    """Round 0: src, row_key, field, period (month of the pointing row), kind: missing, deleted or late, the first that fits; o0.. (the row's key)."""
     by = {t.name: t for t in tables}
     states = states or {t.name: t.state() for t in tables}
     found = None
@@ -95,30 +97,20 @@ def direct_orphans(tables: Sequence[Table], refs: Sequence[Reference], states: d
         child, parent = by[ref.child], by[ref.parent]
         n = len(parent.key)
         p = _pointing(states, ref)
+        told = [
+            F.lit(ref.child).alias("src"), child.row_key().alias("row_key"), F.lit(ref.field).alias("field"), month(F.col("loaded")).alias("period"), "kind",
+            *[F.col(f"k{i}").alias(f"o{i}") if i < len(child.key) else F.lit(None).alias(f"o{i}") for i in range(max(len(t.key) for t in tables))],
+        ]
         q = states[ref.parent].select(*[F.col(f"k{i}").alias(f"q{i}") for i in range(n)], F.col("arrived").alias("q_arrived"), F.col("gone").alias("q_gone"), F.lit(True).alias("q_there"))
-        kind = (
-            F.when(F.col("unknown") | F.col("q_there").isNull(), "missing")
-            .when(F.col("q_gone"), "deleted")
-            .when(F.col("q_arrived") > F.col("loaded"), "late")
-        )
-        rows = (
-            p.join(q, _on(p, q, n, "t", "q"), "left")
-            .withColumn("kind", kind)
-            .filter(F.col("kind").isNotNull())
-            .select(
-                F.lit(ref.child).alias("src"), child.row_key().alias("row_key"), F.lit(ref.field).alias("field"), month(F.col("loaded")).alias("period"), "kind",
-                *[F.col(f"k{i}").alias(f"o{i}") if i < len(child.key) else F.lit(None).alias(f"o{i}") for i in range(max(len(t.key) for t in tables))],
-            )
-        )
+        kind = F.when(F.col("q_there").isNull(), "missing").when(F.col("q_gone"), "deleted").when(F.col("q_arrived") > F.col("loaded"), "late")
+        # Targets that cannot be named are null, so they stay out of the join.
+        named = p.filter(~F.col("unknown"))
+        rows = named.join(q, _on(named, q, n, "t", "q"), "left").withColumn("kind", kind).filter(F.col("kind").isNotNull()).select(*told)
+        rows = rows.unionByName(p.filter("unknown").withColumn("kind", F.lit("missing")).select(*told))
         found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
     return found
 
 
-def orphans(tables: Sequence[Table], refs: Sequence[Reference]) -> DataFrame:
-    """The direct orphans alone: round 0 of the cascade."""
-    return direct_orphans(tables, refs).select("src", "row_key", "field", "period", "kind")
-
-
 def _table_order(names: Sequence[str], refs: Sequence[Reference]) -> tuple[list[str], bool]:
     """Parents before children, and whether that is possible (references of a table to itself don't count)."""
     needs = {n: {r.parent for r in refs if r.child == n and r.parent != n} for n in names}
@@ -131,73 +123,101 @@ def _table_order(names: Sequence[str], refs: Sequence[Reference]) -> tuple[list[
 def _close_under_itself(state: DataFrame, base: DataFrame, ref: Reference, n_keys: int) -> DataFrame:
     """Orphans of a table (k.., steps) closed under its reference to itself.
 
-    Each round semi-joins the rows with the orphans 2^k references above and squares the reference, so a chain of any
-    depth takes the logarithm of it. Where the reference stays within the columns ref.within of the key, only their groups
-    with an orphan take part.
+    After r rounds all rows with an orphan less than 2^r references above are known. A round semi-joins the rows that are still open with
+    the orphans 2^r references above, then squares the reference. A row whose steps are at most 2^(r + 1) can't come nearer, so it leaves, after
+    it has lent its reference to those that point at it; so do rows with nothing that far above. Where the reference stays within the columns ref.within of the key, only their groups with an orphan take part.
     """
     keys, ups = [f"k{i}" for i in range(n_keys)], [f"t{i}" for i in range(n_keys)]
-    p = _pointing({ref.child: state}, ref).select(*keys, *ups)
-    rows = state.select(*keys)
+    p = _pointing({ref.child: state}, ref).filter(~F.col("unknown")).select(*keys, *ups)
+    there = state.select(*[F.col(k).alias(t) for k, t in zip(keys, ups)])
     if ref.within:
         groups = base.select(*ref.within).distinct()
-        p, rows = p.join(groups, list(ref.within), "left_semi"), rows.join(groups, list(ref.within), "left_semi")
-    there = rows.select(*[F.col(k).alias(t) for k, t in zip(keys, ups)])
-    links = rows.join(p.join(there, ups, "left_semi"), keys, "left").join(base.select(*keys, "steps"), keys, "left")
-    links = written(links, "orphans-links")
-    far, limit = 1, links.count()
-    while links.filter(f"{ups[0]} is not null").limit(1).count():
-        up = links.select(*[F.col(k).alias(f"u{i}") for i, k in enumerate(keys)], *[F.col(t).alias(f"v{i}") for i, t in enumerate(ups)], F.col("steps").alias("u_steps"))
-        on = [F.col(f"t{i}") == F.col(f"u{i}") for i in range(n_keys)]
-        links = links.join(up, on, "left").select(*keys, *[F.col(f"v{i}").alias(f"t{i}") for i in range(n_keys)], F.least("steps", F.col("u_steps") + far).alias("steps"))
-        links = written(links, "orphans-links")
+        p = p.join(groups, list(ref.within), "left_semi")
+        there = there.join(groups.select(*[F.col(k).alias(k.replace("k", "t")) for k in ref.within]), [k.replace("k", "t") for k in ref.within], "left_semi")
+    above = lambda df: df.select(*[F.col(k).alias(t) for k, t in zip(keys, ups)], F.col("steps").alias("u_steps"))
+    links = p.join(there, ups, "left_semi").join(base.select(*keys, F.col("steps").alias("own")), keys, "left")
+    least = lambda parts: reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.min("steps").alias("steps"))
+    parts, far, limit = [base.select(*keys, "steps")], 1, None
+    while True:
+        found = parts[0] if len(parts) == 1 else least(parts)
+        # own: the steps known before; now: those of this round, if fewer.
+        now = F.when(F.col("u_steps") + far < F.coalesce("own", F.lit(1 << 62)), F.col("u_steps") + far)
+        links = links.join(above(found), ups, "left").select(*keys, *ups, "own", now.alias("now"))
+        links = written(links.withColumn("open", F.coalesce(F.least("own", "now") > 2 * far, F.lit(True))), "orphans-links")
+        n, n_new, n_open = links.agg(F.count("*"), F.count("now"), F.count_if("open")).first()
+        if limit is None:  # no chain is longer
+            limit = links.groupBy(*ref.within).count().agg(F.max("count")).first()[0] or 0 if ref.within else n
+        if n_new:
+            parts.append(links.filter("now is not null").select(*keys, F.col("now").alias("steps")))
         far *= 2
-        if far > limit:  # what still points somewhere goes round a cycle
-            break
-    return links.filter("steps is not null").select(*keys, "steps")
+        # What still points somewhere after as many steps as a chain can have rows goes round a cycle.
+        if far > limit or not n_open:
+            return least(parts)
+        open_ = links.filter("open").select(*keys, *ups, F.least("own", "now").alias("own"))
+        nxt = links.select(*[F.col(k).alias(t) for k, t in zip(keys, ups)], *[F.col(t).alias(f"v{i}") for i, t in enumerate(ups)])
+        links = open_.join(nxt, ups).select(*keys, *[F.col(f"v{i}").alias(t) for i, t in enumerate(ups)], "own")
 
 
-def cascade(tables: Sequence[Table], refs: Sequence[Reference]) -> DataFrame:
-    """The fixpoint: src, row_key, period, status (direct or inherited), steps (references from the nearest direct orphan).
+@dataclass(frozen=True)
+class Orphans:
+    """direct: src, row_key, field, period, kind, a row for each orphaned reference. rows: src, row_key, period, status (direct or inherited),
+    steps (references from the nearest direct orphan), one row for each orphaned row."""
 
-    A row that is orphaned itself is direct, also if it hangs below another orphan. Tables are taken parents first, each is
-    semi-joined with the orphans of its parents and closed under its reference to itself; if tables refer to each other in
-    a ring, the passes repeat until no row is new.
+    direct: DataFrame
+    rows: DataFrame
+
+    def by_table_and_period(self) -> DataFrame:
+        """The report: rows of each table, period and status."""
+        return self.rows.groupBy("src", "period", "status").agg(F.count("*").alias("n_rows"), F.max("steps").alias("max_steps"))
+
+
+def cascade(tables: Sequence[Table], refs: Sequence[Reference]) -> Orphans:
+    """The fixpoint. A row that is orphaned itself is direct, also if it hangs below another orphan.
+
+    Tables are taken parents first, each is semi-joined with the orphans of its parents and closed under its reference to itself; if tables
+    refer to each other in a ring, the passes repeat until no row is new and the sum of the steps stays.
     """
     by = {t.name: t for t in tables}
     states = {t.name: written(t.state(), f"orphans-{t.name}") for t in tables}
     order, acyclic = _table_order(list(by), refs)
-    orphaned: dict[str, tuple[DataFrame, int]] = {}
-    total = -1
-    while total != (total := sum(n for _, n in orphaned.values())) or total < 0:
-        for name in order:
-            own = [r for r in refs if r.child == name]
-            if not own:
-                continue
+    own = {name: [r for r in refs if r.child == name] for name in order}
+    direct = {name: written(direct_orphans(tables, own[name], states), "orphans-direct") for name in order if own[name]}
+    once = acyclic and all(sum(r.parent == name for r in own[name]) < 2 for name in order)
+    orphaned: dict[str, DataFrame] = {}
+    before = None
+    while True:
+        for name, found in direct.items():
             keys = [f"k{i}" for i in range(len(by[name].key))]
-            base = direct_orphans(tables, own, states).select(*[F.col(f"o{i}").alias(k) for i, k in enumerate(keys)]).withColumn("steps", F.lit(0))
-            for ref in own:
-                if ref.parent in orphaned and (ref.parent != name or len([r for r in own if r.parent == name]) > 1):
-                    above, size = orphaned[ref.parent]
+            selves = [r for r in own[name] if r.parent == name]
+            base = found.select(*[F.col(f"o{i}").alias(k) for i, k in enumerate(keys)], F.lit(0).cast("long").alias("steps"))
+            for ref in own[name]:
+                if ref.parent in orphaned and (ref.parent != name or len(selves) > 1):
                     n = len(by[ref.parent].key)
-                    f = small_side(above.select(*[F.col(f"k{i}").alias(f"f{i}") for i in range(n)], (F.col("steps") + 1).alias("steps")), size)
-                    p = _pointing(states, ref)
+                    f = orphaned[ref.parent].select(*[F.col(f"k{i}").alias(f"f{i}") for i in range(n)], (F.col("steps") + 1).alias("steps"))
+                    p = _pointing(states, ref).filter(~F.col("unknown"))
                     base = base.unionByName(p.join(f, _on(p, f, n, "t", "f")).select(*keys, "steps"))
-            base = written(base.groupBy(*keys).agg(F.min("steps").alias("steps")), "orphans-base")
-            selves = [r for r in own if r.parent == name]
+            base = base.groupBy(*keys).agg(F.min("steps").alias("steps"))
             if len(selves) == 1:
-                base = written(_close_under_itself(states[name], base, selves[0], len(keys)), "orphans-closed")
-            orphaned[name] = (base, base.count())
-        if acyclic and all(len([r for r in refs if r.child == n == r.parent]) < 2 for n in by):
+                base = _close_under_itself(states[name], written(base, "orphans-base"), selves[0], len(keys))
+            read_again = not once or any(r.parent == name for o in own.values() for r in o)
+            orphaned[name] = written(base, "orphans-closed") if read_again else base
+        if once:
+            break
+        after = [tuple(x.agg(F.count("*"), F.coalesce(F.sum("steps"), F.lit(0))).first()) for x in orphaned.values()]
+        if after == before:
             break
-    out = None
-    for name, (rows, _) in orphaned.items():
+        before = after
+    rows = references = None
+    for name, closed in orphaned.items():
         keys = [f"k{i}" for i in range(len(by[name].key))]
-        told = rows.join(states[name].select(*keys, "loaded"), keys)
+        told = closed.join(states[name].select(*keys, "loaded"), keys)
         told = told.select(F.lit(name).alias("src"), by[name].row_key().alias("row_key"), month(F.col("loaded")).alias("period"), F.when(F.col("steps") == 0, "direct").otherwise("inherited").alias("status"), "steps")
-        out = told if out is None else out.unionByName(told)
-    return out
+        rows = told if rows is None else rows.unionByName(told)
+        part = direct[name].select("src", "row_key", "field", "period", "kind")
+        references = part if references is None else references.unionByName(part)
+    return Orphans(references, rows)
 
 
-def by_table_and_period(orphaned: DataFrame) -> DataFrame:
-    """The report: rows of each table, period and status."""
-    return orphaned.groupBy("src", "period", "status").agg(F.count("*").alias("n_rows"), F.max("steps").alias("max_steps"))
+def orphans(tables: Sequence[Table], refs: Sequence[Reference]) -> DataFrame:
+    """The direct orphans of the cascade."""
+    return cascade(tables, refs).direct

@@ -31,11 +31,12 @@ def corpus_references(spark: SparkSession, d: str) -> tuple[list[orphans.Table],
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return orphans.orphans(*corpus_references(spark, d)).distinct()
+    """Round 0 of the fixpoint, which runs to its end."""
+    return orphans.cascade(*corpus_references(spark, d)).direct.distinct()
 
 
 def p1_cascade(spark: SparkSession, d: str) -> DataFrame:
-    return orphans.by_table_and_period(orphans.cascade(*corpus_references(spark, d)))
+    return orphans.cascade(*corpus_references(spark, d)).by_table_and_period()
 
 
 def valid_words(spark: SparkSession, d: str) -> DataFrame:

@@ -40,7 +40,7 @@ def test_cascade_against_walking(spark):
     n = 80
     children = [(str(i), r.choice(["a"] * 9 + ["gone"]), None if r.random() < 0.2 else str(r.randint(0, n + 3)), day(1), "k") for i in range(n)]
     tables, refs = graph(spark, [("a", day(0), None, "x")], children)
-    got = {x.row_key: (x.status, x.steps) for x in orphans.cascade(tables, refs).filter("src = 'c'").collect()}
+    got = {x.row_key: (x.status, x.steps) for x in orphans.cascade(tables, refs).rows.filter("src = 'c'").collect()}
     ids = {c[0] for c in children}
     level = {c[0]: 0 for c in children if c[1] == "gone" or (c[2] is not None and c[2] not in ids)}
     step = 0
@@ -53,9 +53,51 @@ def test_cascade_against_walking(spark):
     assert got == {i: ("direct" if s == 0 else "inherited", s) for i, s in level.items()}
 
 
+def walked(tables, edges, direct):
+    """Steps from the nearest direct orphan, level by level. edges: child -> parents."""
+    level = {r: 0 for r in direct}
+    step = 0
+    while True:
+        new = {c for c, ps in edges.items() if c not in level and any(level.get(p) == step for p in ps)}
+        if not new:
+            return level
+        step += 1
+        level |= {c: step for c in new}
+
+
+@pytest.mark.parametrize("seed", [3])
+def test_cascade_down_a_ring_of_tables(spark, seed):
+    """A names A and B, B names A twice; chains of A are long and end in a missing row."""
+    r = random.Random(seed)
+    n, m = 40, 12
+    a = [(f"a{i}", None if r.random() < 0.05 else f"a{i - r.choice([1, 1, 1, 2])}" if i > 2 else "gone" if r.random() < 0.5 else None, f"b{r.randrange(m)}" if r.random() < 0.1 else None, day(1)) for i in range(n)]
+    b = [(f"b{i}", f"a{r.randrange(n)}" if r.random() < 0.6 else None, f"a{r.randrange(n)}" if r.random() < 0.3 else None, day(1)) for i in range(m)]
+    ta = spark.createDataFrame(a, "id string, me string, x string, loaded_at timestamp")
+    tb = spark.createDataFrame(b, "id string, y string, z string, loaded_at timestamp")
+    tables = [orphans.Table("A", ta, ["id"], ["me", "x"]), orphans.Table("B", tb, ["id"], ["y", "z"])]
+    column = lambda c: lambda: [F.col(f"c_{c}")]
+    refs = [orphans.Reference("A", "me", "A", column("me")), orphans.Reference("A", "x", "B", column("x")), orphans.Reference("B", "y", "A", column("y")), orphans.Reference("B", "z", "A", column("z"))]
+    edges = {k: [p for p in ps if p] for k, *ps, _ in a + b}
+    want = walked(tables, edges, {k for k, ps in edges.items() if any(p not in edges for p in ps)})
+    assert {x.row_key: x.steps for x in orphans.cascade(tables, refs).rows.collect()} == want and want
+
+
+def test_a_row_through_another_table_is_nearer(spark):
+    """The way up A's own chain is 20 steps long, the way through B is shorter; steps must be the least of both, found in later passes."""
+    a = [("a0", "gone", None, day(1))] + [(f"a{i}", f"a{i - 1}", "b" if i == 20 else None, day(1)) for i in range(1, 25)]
+    b = [("b", "a2", "a3", day(1))]
+    ta = spark.createDataFrame(a, "id string, me string, x string, loaded_at timestamp")
+    tb = spark.createDataFrame(b, "id string, y string, z string, loaded_at timestamp")
+    tables = [orphans.Table("A", ta, ["id"], ["me", "x"]), orphans.Table("B", tb, ["id"], ["y", "z"])]
+    column = lambda c: lambda: [F.col(f"c_{c}")]
+    refs = [orphans.Reference("A", "me", "A", column("me")), orphans.Reference("A", "x", "B", column("x")), orphans.Reference("B", "y", "A", column("y")), orphans.Reference("B", "z", "A", column("z"))]
+    got = {x.row_key: x.steps for x in orphans.cascade(tables, refs).rows.collect()}
+    assert got["a20"] == 4 and got["b"] == 3 and got["a24"] == 8 and got["a19"] == 19
+
+
 def test_orphans_of_empty_tables(spark):
     tables, refs = graph(spark, [], [])
-    assert orphans.orphans(tables, refs).count() == 0 and orphans.cascade(tables, refs).count() == 0
+    assert orphans.orphans(tables, refs).count() == 0 and orphans.cascade(tables, refs).rows.count() == 0
 
 
 def parse(line):
