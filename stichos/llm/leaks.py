@@ -4,9 +4,10 @@ Every item, and every document, is seen through windows of `window` words. A win
 its words' random vectors; the weight of a word falls with the share of items of its language that have it, so words of
 every sentence hardly move a fingerprint. The item fingerprints are filed under radius + 1 blocks of their bits: two
 fingerprints within the radius agree in one block at least, so looking up all blocks of a document's window and counting
-differing bits finds every item window within the radius. Windows found near each other in document and item are
+differing bits finds every item window within the radius. Windows with two words that no item has, or of hardly any weight, are not looked up
+(Settings). Windows found near each other in document and item are
 a candidate, which an exact weighted alignment in order (words matched, replaced, left out, added) verifies; its pieces
-are put together in the item's order.
+are put together in the item's order. Windows are as long as a shingle, not as an item: a window as long as the item can't find a part of it.
 
 The items are a held-out set whose index every task gets; its size is checked (max_item_words) and a larger set is done in slices, each
 with its own pass. The words' weights are counted over all items by one aggregate and every slice gets the same table, so slices change no
@@ -54,8 +55,11 @@ def words(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Settings:
-    """window and radius: of fingerprints. A piece counts from piece_words words of the item on and piece_score; a case has
-    min_words words of the item in all, min_score, and min_share of its weight matched."""
+    """window and radius: of fingerprints. A window of a document is looked up if it has at most `unknown` words that no item has, and least_weight
+    in all; windows near each other are aligned if they cover 3 places of the item, or 2 and pair_weight, or weigh dense_weight a window (strict:
+    without it all are). A piece counts from piece_words words of the item on and piece_score; a case has
+    min_words words of the item in all, min_score, and min_share of its weight matched. band: words an alignment may stray from the
+    line through its windows, where the item and the document's part have more than 2 * band words; cells: of alignments done at once."""
 
     window: int = 5
     radius: int = 3
@@ -67,6 +71,13 @@ class Settings:
     unlike: float = 0.35
     left_out: float = 0.35
     added: float = 0.12
+    unknown: int = 1
+    least_weight: float = 0.9
+    strict: bool = True
+    pair_weight: float = 2.0
+    dense_weight: float = 2.2
+    band: int = 1000
+    cells: int = 4_000_000
     max_item_words: int = 2_000_000
 
 
@@ -146,7 +157,7 @@ class Index:
         """Pairs (word of the document, item window) whose fingerprints differ in radius bits at most."""
         known = np.convolve(codes > 0, np.ones(self.s.window, np.int16), "valid")
         prints, weight = self.prints(codes)
-        start = np.flatnonzero((known >= self.s.window - 1) & (weight >= 0.9))
+        start = np.flatnonzero((known >= self.s.window - self.s.unknown) & (weight >= self.s.least_weight))
         prints = prints[start]
         where, what = [], []
         for b, (order, ends) in enumerate(self.blocks):
@@ -163,45 +174,100 @@ class Index:
         pairs = np.unique(np.concatenate(where) * max(len(self.prints_), 1) + np.concatenate(what))
         return pairs // max(len(self.prints_), 1), pairs % max(len(self.prints_), 1)
 
-    def align(self, cases: list[tuple[int, np.ndarray]]) -> list[tuple[float, int, int, int, int, int, float]]:
-        """The best local alignment of each (item, words of a document): score, first and last word (one past) in the item and
-        in the document, words matched, weight matched."""
+    def align(self, cases: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> list[tuple[float, int, int, int, int, int, float]]:
+        """The best local alignment of each (item, words of a document, windows in the item, windows in the words): score, first and last word
+        (one past) in the item and in the document, words matched, weight matched.
+
+        Small cases are done together, as many as make `cells` cells; a large one by itself, in a band along its windows.
+        """
         s, out = self.s, [None] * len(cases)
-        order = sorted(range(len(cases)), key=lambda c: (len(self.items[cases[c][0]]), len(cases[c][1])))
-        for lo in range(0, len(order), 64):
-            part = order[lo : lo + 64]
-            n, m = max(len(self.items[cases[c][0]]) for c in part), max(len(cases[c][1]) for c in part)
-            a, b = np.full((len(part), n), -1, np.int32), np.full((len(part), m), -2, np.int32)
-            for r, c in enumerate(part):
-                a[r, : len(self.items[cases[c][0]])] = self.items[cases[c][0]]
-                b[r, : len(cases[c][1])] = cases[c][1]
-            wa = np.where(a > 0, self.weight[a], 0.5).astype(np.float32)
-            h = np.zeros((len(part), n + 1, m + 1), np.float32)
-            gaps = (s.added * np.arange(m + 1)).astype(np.float32)
-            for i in range(1, n + 1):
-                w = wa[:, i - 1, None]
-                diagonal = h[:, i - 1, :-1] + np.where(b == a[:, i - 1, None], w, -s.unlike * np.maximum(w, 0.25))
-                row = np.maximum(0, np.maximum(diagonal, h[:, i - 1, 1:] - s.left_out * np.maximum(w, 0.2)))
-                h[:, i, 1:] = np.maximum.accumulate(row + gaps[1:], axis=1) - gaps[1:]
-            flat = h.reshape(len(part), -1)
-            best = flat.argmax(axis=1)
-            for r, c in enumerate(part):
-                score = float(flat[r, best[r]])
-                i, j = divmod(int(best[r]), m + 1)
-                i1, j1, matched, weight = i, j, 0, 0.0
-                if score >= s.piece_score:
-                    while i and j and h[r, i, j] > 1e-4:
-                        w, same = float(wa[r, i - 1]), a[r, i - 1] == b[r, j - 1]
-                        v = h[r, i, j]
-                        if abs(v - (h[r, i - 1, j - 1] + (w if same else -s.unlike * max(w, 0.25)))) < 1e-3:
-                            matched, weight, i, j = matched + bool(same), weight + w * bool(same), i - 1, j - 1
-                        elif abs(v - (h[r, i, j - 1] - s.added)) < 1e-3:
-                            j -= 1
-                        else:
-                            i -= 1
-                out[c] = (score, i, i1, j, j1, matched, weight)
+        size = lambda c: (len(self.items[cases[c][0]]), len(cases[c][1]))
+        part: list[int] = []
+        n = m = 0
+        for c in sorted(range(len(cases)), key=size):
+            a, b = size(c)
+            if min(a, b) > 2 * s.band:
+                out[c] = self.align_band(*cases[c])
+                continue
+            if part and (len(part) + 1) * (max(n, a) + 1) * (max(m, b) + 1) > s.cells:
+                self.align_part(cases, part, n, m, out)
+                part, n, m = [], 0, 0
+            part.append(c)
+            n, m = max(n, a), max(m, b)
+        if part:
+            self.align_part(cases, part, n, m, out)
         return out
 
+    def align_part(self, cases: list[tuple], part: list[int], n: int, m: int, out: list) -> None:
+        """Cases of at most n words of an item and m of a document, in whole tables."""
+        s = self.s
+        a, b = np.full((len(part), n), -1, np.int32), np.full((len(part), m), -2, np.int32)
+        for r, c in enumerate(part):
+            a[r, : len(self.items[cases[c][0]])] = self.items[cases[c][0]]
+            b[r, : len(cases[c][1])] = cases[c][1]
+        wa = np.where(a > 0, self.weight[a], 0.5).astype(np.float32)
+        h = np.zeros((len(part), n + 1, m + 1), np.float32)
+        gaps = (s.added * np.arange(m + 1)).astype(np.float32)
+        for i in range(1, n + 1):
+            w = wa[:, i - 1, None]
+            diagonal = h[:, i - 1, :-1] + np.where(b == a[:, i - 1, None], w, -s.unlike * np.maximum(w, 0.25))
+            row = np.maximum(0, np.maximum(diagonal, h[:, i - 1, 1:] - s.left_out * np.maximum(w, 0.2)))
+            h[:, i, 1:] = np.maximum.accumulate(row + gaps[1:], axis=1) - gaps[1:]
+        best = h.reshape(len(part), -1).argmax(axis=1)
+        for r, c in enumerate(part):
+            out[c] = self.trace(lambda i, j, r=r: h[r, i, j], a[r], wa[r], b[r], *divmod(int(best[r]), m + 1))
+
+    def align_band(self, item: int, words_: np.ndarray, at_item: np.ndarray, at_words: np.ndarray) -> tuple[float, int, int, int, int, int, float]:
+        """One case in a band of 2 * band + 1 words of the document along the line through its windows."""
+        s, a, b = self.s, self.items[item], words_
+        n, m, wide = len(a), len(b), 2 * self.s.band + 1
+        order = np.argsort(at_item, kind="stable")
+        places, first = np.unique(at_item[order], return_index=True)
+        line = np.add.reduceat(at_words[order], first) / np.diff(np.r_[first, len(order)])
+        # The line follows the median of the shifts around, as windows also match by chance elsewhere.
+        line = places + np.median(np.lib.stride_tricks.sliding_window_view(np.pad(line - places, 50, mode="edge"), 101), axis=1)
+        row_ = np.arange(n + 1)
+        middle = np.interp(row_, places, line) + np.minimum(row_ - places[0], 0) + np.maximum(row_ - places[-1], 0)
+        start = np.clip(np.maximum.accumulate(middle).astype(np.int64) - s.band, 0, max(m + 1 - wide, 0))
+        wa = np.where(a > 0, self.weight[a], 0.5).astype(np.float64)
+        # Column k of row i is word start[i] + k of the document; column 0 of the document is before its first word.
+        h = np.zeros((n + 1, wide), np.float64)
+        gaps = (s.added * np.arange(wide)).astype(np.float64)
+        padded = np.r_[np.int32(-2), b, np.full(wide, -2, np.int32)]
+        for i in range(1, n + 1):
+            w, by = wa[i - 1], int(start[i] - start[i - 1])
+            above = np.zeros(wide + 1, np.float64)
+            held = h[i - 1, max(by - 1, 0) :][: wide + 1]
+            above[(1 if by == 0 else 0) :][: len(held)] = held  # above[k]: the cell up and left of column k
+            word = padded[start[i] : start[i] + wide]
+            diagonal = above[:-1] + np.where(word == a[i - 1], w, -s.unlike * max(w, 0.25))
+            row = np.maximum(0, np.maximum(diagonal, above[1:] - s.left_out * max(w, 0.2)))
+            row[(start[i] + np.arange(wide) < 1) | (start[i] + np.arange(wide) > m)] = 0
+            h[i] = np.maximum.accumulate(row + gaps) - gaps
+
+        def cell(i: int, j: int) -> float:
+            k = j - start[i]
+            return h[i, k] if 0 <= k < wide else 0.0
+
+        i, k = divmod(int(h.argmax()), wide)
+        return self.trace(cell, a, wa, b, i, int(k + start[i]))
+
+    def trace(self, h, a: np.ndarray, wa: np.ndarray, b: np.ndarray, i: int, j: int) -> tuple[float, int, int, int, int, int, float]:
+        """The alignment that ends in cell (i, j) of h."""
+        s, score = self.s, float(h(i, j))
+        i1, j1, matched, weight = i, j, 0, 0.0
+        if score >= s.piece_score:
+            while i and j and h(i, j) > 1e-4:
+                w, same = float(wa[i - 1]), a[i - 1] == b[j - 1]
+                v = h(i, j)
+                if abs(v - (h(i - 1, j - 1) + (w if same else -s.unlike * max(w, 0.25)))) < 1e-3:
+                    matched, weight, i, j = matched + bool(same), weight + w * bool(same), i - 1, j - 1
+                elif abs(v - (h(i, j - 1) - s.added)) < 1e-3:
+                    j -= 1
+                else:
+                    i -= 1
+        return score, i, i1, j, j1, matched, weight
+
     def pieces(self, codes: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], list[tuple]]:
         """For many documents end to end (bounds: where each begins, and the end): (document, item) -> verified pieces."""
         s, found = self.s, defaultdict(list)
@@ -225,10 +291,11 @@ class Index:
             cover = np.bincount(group, minlength=len(first))
             span = cum[at[last] + s.window] - cum[at[first]]
             steps = np.zeros(len(first), np.int64)
-            pairs = np.unique(group * 100_000 + i)
-            np.add.at(steps, pairs // 100_000, 1)
-            strong = (steps >= 3) | ((steps >= 2) & (span >= 2.0)) | (span / np.maximum(at[last] - at[first] + s.window, 1) * s.window >= 2.2)
-            strong &= cover > 0
+            width = int(i.max()) + 1
+            np.add.at(steps, np.unique(group * width + i) // width, 1)
+            strong = cover > 0
+            if s.strict:
+                strong &= (steps >= 3) | ((steps >= 2) & (span >= s.pair_weight)) | (span / np.maximum(at[last] - at[first] + s.window, 1) * s.window >= s.dense_weight)
             keep = strong[group]
             chosen = np.flatnonzero(strong)
             cases, spots = [], []
@@ -238,7 +305,7 @@ class Index:
                 i_lo, i_hi = int(i[f : e + 1].min()), int(i[f : e + 1].max())
                 lo = max(int(bounds[doc[f]]), int(at[f]) - int(1.3 * i_lo) - 8)
                 hi = min(int(bounds[doc[f] + 1]), int(at[e]) + s.window + int(1.3 * (size - i_hi)) + 8)
-                cases.append((k, codes[lo:hi]))
+                cases.append((k, codes[lo:hi], i[f : e + 1], at[f : e + 1] - lo))
                 spots.append((f, lo))
             done = np.zeros(len(at), bool)
             for g, (f, lo), (score, i0, i1, j0, j1, matched, wt) in zip(chosen, spots, self.align(cases)):

@@ -73,6 +73,37 @@ def test_slices_change_no_result(spark):
     assert run(leaks.Settings(max_item_words=50)) == run(leaks.Settings()) != []
 
 
+def test_banded_alignment_is_the_whole_one():
+    """Long enough to need the band, with words changed, left out and added, and a stretch of other text before and after."""
+    r = random.Random(14)
+    item = passage(r, 700)
+    ix = leaks.Index([(1, "en", " ".join(item))], leaks.Settings(band=100))
+    doc = []
+    for w in item[40:660]:
+        doc += [] if r.random() < 0.04 else [r.choice(NOUNS)] if r.random() < 0.06 else [w, *(["zz"] if r.random() < 0.04 else [])]
+    codes = np.array([ix.code.get(w, 0) for w in passage(r, 120) + doc + passage(r, 150)], np.int32)
+    at, win = ix.hits(codes)
+    near = np.abs(at - win - 100) < 90
+    case = (0, codes, ix.at[win[near]], at[near])
+    whole: list = [None]
+    ix.align_part([case], [0], len(item), len(codes), whole)
+    assert ix.align([case])[0] == pytest.approx(whole[0], abs=1e-2) and whole[0][5] > 500
+
+
+def test_a_long_item_is_aligned_in_bounded_space():
+    import tracemalloc
+
+    r = random.Random(15)
+    item = passage(r, 20_000)
+    ix = leaks.Index([(1, "en", " ".join(item))], leaks.Settings())
+    codes = np.array([ix.code.get(w, 0) for w in passage(r, 500) + [w for w in item if r.random() > 0.03] + passage(r, 500)], np.int32)
+    tracemalloc.start()
+    found = ix.pieces(codes, np.array([0, len(codes)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ix.verdict(found[(0, 0)])[0] and max(p[3] - p[2] for p in found[(0, 0)]) > 19_000 and peak < 1 << 30
+
+
 def test_plain_words():
     assert leaks.words("\\add The\\add* μῆ͂νιν par-\ndoned <i>x</i> 3:4 \\f + \\ft Or, y.\\f* ΛΟΓΟΣ") == ["the", "μηνιν", "pardoned", "x", "λογοσ"]
 
