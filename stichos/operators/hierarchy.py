@@ -18,6 +18,7 @@ key are left out, since nothing can name them; an empty input gives an empty out
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ from stichos.common import small_side, written
 ROOT, DETACHED, CYCLE = 0, 1, 2
 #: Shares of one parent's children in a tree ranked by joins.
 SHARES = 256
+#: The most rows of a tree whose paths one task builds.
+LIST_ROWS = 10_000
 STATUS = np.array(["rooted", "detached", "cycle", "below_cycle"], dtype=object)
 
 
@@ -180,8 +183,10 @@ def hierarchy(
 
     status: rooted, detached, cycle or below_cycle. top: the root, the detached node or the smallest node of the cycle.
     steps: parents followed to the top, or to the first node on the cycle. entry and exit count from the top, or from that node.
-    With lists, descendants and paths are as large as the sum of the depths; without them the intervals say the same.
+    With lists, descendants and paths are as large as the sum of the depths; without them the intervals say the same. A chain of n rows
+    has n * n / 2 of them, so with lists trees over LIST_ROWS rows are ranked by joins already.
     """
+    max_tree_rows = min(max_tree_rows, LIST_ROWS) if lists else max_tree_rows
     trees = [f"tree{i}" for i in range(len(tree_cols))]
     is_root = F.coalesce(F.col(parent) == F.lit(root_value), F.lit(False)) if root_value is not None else F.lit(False)
     rows = df.select(*[F.col(c).alias(t) for c, t in zip(tree_cols, trees)], F.col(node).alias("node"), F.col(parent).cast(df.schema[node].dataType).alias("parent"), is_root.alias("is_root"), *[F.col(c).alias(f"carry{i}") for i, c in enumerate(carry)])
@@ -234,30 +239,38 @@ def wide_nodes(rows: DataFrame, trees: list[str], lists: bool) -> DataFrame:
     base = written(rows.join(there, cond, "left").select(*key, F.col("p_node").alias("parent"), "is_root"), "hierarchy-links")
     n = base.count()
 
-    def follow(far: DataFrame, cols: list, rounds: int | None, label: str) -> DataFrame:
-        """Pointer jumping on (trees.., node, to, more..): cols make the new row from a (the node) and b (where it points)."""
-        step = 0
-        while rounds is None or step < rounds:
-            a, b = far.alias("a"), far.alias("b")
-            on = [F.col(f"a.{t}") == F.col(f"b.{t}") for t in trees] + [F.col("a.to") == F.col("b.node")]
-            far = written(a.join(b, on, "left").select(*[F.col(f"a.{k}").alias(k) for k in key], *cols), label)
-            step += 1
-            if rounds is None and not far.filter("moving").limit(1).count():
-                break
-        return far
-
-    # 1. Cycles: after 2^k >= n steps along parents every node that still has somewhere to go stands on a cycle.
-    rounds = max(1, math.ceil(math.log2(n + 1)))
-    far = base.select(*key, F.col("parent").alias("to"))
-    far = follow(far, [F.when(F.col("a.to").isNotNull(), F.col("b.to")).alias("to")], rounds, "hierarchy-far")
-    on = written(far.filter("to is not null").select(*trees, F.col("to").alias("node")).distinct(), "hierarchy-cycles")
+    def jumped(live: DataFrame, to: DataFrame, cols: list, label: str) -> DataFrame:
+        """One jump: cols make the new row from a (the node) and b (where it points)."""
+        a, b = live.alias("a"), to.alias("b")
+        on = [F.col(f"a.{t}") == F.col(f"b.{t}") for t in trees] + [F.col("a.to") == F.col("b.node")]
+        return written(a.join(b, on).select(*[F.col(f"a.{k}").alias(k) for k in key], *cols), label)
+
+    def follow(rows: DataFrame, cols: list, label: str) -> DataFrame:
+        """Pointer jumping on (trees.., node, to, more..) until every row's `to` is null. Only rows that still point somewhere jump;
+        those that don't are kept aside and joined as targets alone, so no join has a null key or a last node that all rows point at."""
+        live, done = rows.filter("to is not null"), [rows.filter("to is null")]
+        while live.limit(1).count():
+            nxt = jumped(live, reduce(DataFrame.unionByName, [live, *done]), cols, label)
+            live, done = nxt.filter("to is not null"), [*done, nxt.filter("to is null")]
+        return reduce(DataFrame.unionByName, done)
+
+    # 1. Cycles: after 2^k >= n steps along parents every node that still has somewhere to go stands below or on a cycle; where it points is on one.
+    # A node whose way ends leaves by the inner join.
+    far = base.filter("parent is not null").select(*key, F.col("parent").alias("to"))
+    for _ in range(max(1, math.ceil(math.log2(n + 1)))):
+        far = jumped(far, far, [F.col("b.to").alias("to")], "hierarchy-far")
+        if not far.limit(1).count():
+            break
+    on = written(far.select(*trees, F.col("to").alias("node")).distinct(), "hierarchy-cycles")
     cyc = on.count()
     tops = base.select(*key, "parent", "is_root", F.lit(False).alias("cyclic"))
     low = None
     if cyc:
         tops = base.join(on.withColumn("c", F.lit(True)), key, "left").select(*key, F.when(F.col("c").isNull(), F.col("parent")).alias("parent"), "is_root", F.col("c").isNotNull().alias("cyclic"))
         ring = base.join(on, key, "left_semi").select(*key, F.col("parent").alias("to"), F.least("node", "parent").alias("low"))
-        low = follow(ring, [F.col("b.to").alias("to"), F.least("a.low", "b.low").alias("low")], max(1, math.ceil(math.log2(cyc + 1))), "hierarchy-ring").select(*key, "low")
+        for _ in range(max(1, math.ceil(math.log2(cyc + 1)))):
+            ring = jumped(ring, ring, [F.col("b.to").alias("to"), F.least("a.low", "b.low").alias("low")], "hierarchy-ring")
+        low = ring.select(*key, "low")
     tops = written(tops, "hierarchy-tops")
 
     # 2. Euler tours: arc 0 goes down into a node, arc 1 up out of it; `to` names the next arc.
@@ -276,15 +289,15 @@ def wide_nodes(rows: DataFrame, trees: list[str], lists: bool) -> DataFrame:
 
     down = tops.join(first, key, "left").select(*trees, name("node", 0).alias("node"), F.when(F.col("first_kid").isNotNull(), name("first_kid", 0)).otherwise(name("node", 1)).alias("to"), F.lit(1).alias("level"))
     sibs = tops.join(kids.select(*key, "next_kid"), key, "left")
-    up = sibs.select(*trees, name("node", 1).alias("node"), F.when(F.col("next_kid").isNotNull(), name("next_kid", 0)).when(F.col("parent").isNotNull(), name("parent", 1)).otherwise(name("node", 1)).alias("to"), F.lit(-1).alias("level"))
-    last = F.col("node") == F.col("to")
-    arcs = down.unionByName(up).select(*key, "to", F.when(last, 0).otherwise(1).cast("long").alias("rank"), F.when(last, 0).otherwise(F.col("level")).cast("long").alias("level"), F.lit(True).alias("moving"))
+    up = sibs.select(*trees, name("node", 1).alias("node"), F.when(F.col("next_kid").isNotNull(), name("next_kid", 0)).when(F.col("parent").isNotNull(), name("parent", 1)).alias("to"), F.lit(-1).alias("level"))
+    # The last arc of a tour points nowhere and its weights don't count; `last` is the farthest arc reached. Jumps of one length reach different arcs.
+    ends = F.col("to").isNull()
+    arcs = down.unionByName(up).select(*key, "to", F.coalesce("to", "node").alias("last"), F.when(ends, 0).otherwise(1).cast("long").alias("rank"), F.when(ends, 0).otherwise(F.col("level")).cast("long").alias("level"))
     ranked = follow(
         written(arcs, "hierarchy-arcs"),
-        [F.col("b.to").alias("to"), (F.col("a.rank") + F.col("b.rank")).alias("rank"), (F.col("a.level") + F.col("b.level")).alias("level"), (F.col("a.to") != F.col("b.to")).alias("moving")],
-        None, "hierarchy-ranks",
+        [F.col("b.to").alias("to"), F.col("b.last").alias("last"), (F.col("a.rank") + F.col("b.rank")).alias("rank"), (F.col("a.level") + F.col("b.level")).alias("level")], "hierarchy-ranks",
     )
-    d = ranked.filter("node.up = 0").select(*trees, F.col("node.node").alias("node"), F.col("to.node").alias("top"), F.col("rank").alias("r_down"), (1 - F.col("level")).cast("int").alias("steps"))
+    d = ranked.filter("node.up = 0").select(*trees, F.col("node.node").alias("node"), F.col("last.node").alias("top"), F.col("rank").alias("r_down"), (1 - F.col("level")).cast("int").alias("steps"))
     u = ranked.filter("node.up = 1").select(*trees, F.col("node.node").alias("node"), F.col("rank").alias("r_up"))
     length = d.filter("node = top").select(*trees, F.col("node").alias("top"), F.col("r_down").alias("length"))
     out = d.join(u, key).join(length, [*trees, "top"])
@@ -301,8 +314,7 @@ def wide_nodes(rows: DataFrame, trees: list[str], lists: bool) -> DataFrame:
 
     # 3. Paths by doubling along parents; their sum is as large as the result itself. Descendants are the paths, turned round.
     walk = tops.select(*key, F.col("parent").alias("to"), F.array(F.col("node")).alias("path"))
-    depth = int(out.agg(F.coalesce(F.max("steps"), F.lit(0))).first()[0])
-    walk = follow(walk, [F.col("b.to").alias("to"), F.concat(F.coalesce(F.col("b.path"), F.array().cast(f"array<{kind}>")), F.col("a.path")).alias("path")], max(1, math.ceil(math.log2(depth + 2))), "hierarchy-paths")
+    walk = follow(walk, [F.col("b.to").alias("to"), F.concat("b.path", "a.path").alias("path")], "hierarchy-paths")
     walk = walk.select(*key, "path")
     above = walk.select(*key, F.explode(F.slice("path", 1, F.size("path") - 1)).alias("above")).join(out.select(*key, "entry"), key)
     below = above.groupBy(*trees, F.col("above").alias("node")).agg(F.transform(F.array_sort(F.collect_list(F.struct("entry", "node"))), lambda x: x["node"]).alias("descendants"))
