@@ -6,8 +6,9 @@ ones; jumps of any distance, backward too, decode lines moved or left out; and e
 with no source. A target word comes from a word of the state's lines by the lexicon, or from the background. Viterbi decoding gives the
 state of every target line; a pair comes out for each line of the state that shares a word with it, or stands between lines that do.
 
-The lexicon (form to lemma by the treebank, lemma to glosses) is joined to the source words by shuffle, never collected. The pairs of a first
-decoding teach it the words that glosses lack, over all lines, and a second decoding gives the result. Chapters
+The lexicon (form to lemma by the treebank, lemma to glosses) goes to the tasks while its counted rows are under max_entries, else it is joined to the
+source words by shuffle. The pairs of a first decoding teach it the words that glosses lack: each task counts its pairs by key and word, the
+counts are added up over all lines, and a second decoding gives the result. Chapters
 are cogrouped, after the lines of both layers are cut into overlapping windows of verses where a chapter has more than `lines` lines: a
 window is decoded by itself and keeps only its middle, so a chapter of many verses is not brought into one task. A verse is not cut.
 A line of such a chapter that has no verse, or no state in its window that would stand against all lines of the chapter, is searched in every
@@ -21,11 +22,15 @@ further columns are not read.
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
+from collections.abc import Callable
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stichos.common import latest_rows, written
 
@@ -44,8 +49,10 @@ def spelled(name: str) -> str:
 
 
 class Model:
-    def __init__(self, max_span: int = 3, background: float = 0.35, null: float = 0.03):
-        self.max_span, self.background, self.null = max_span, background, null
+    """common: frequent words of the target language, which say little about a line's source."""
+
+    def __init__(self, max_span: int = 3, background: float = 0.35, null: float = 0.03, common: frozenset[str] = COMMON):
+        self.max_span, self.background, self.null, self.common = max_span, background, null, common
         self.spans = np.log(np.array([0.88, 0.11, 0.01, 0.002][:max_span]))
 
     def jumps(self, d: np.ndarray) -> np.ndarray:
@@ -57,35 +64,26 @@ class Model:
         """Log probabilities (targets x states), of the null state (targets), and content words shared (targets x sources)."""
         n, m = len(sources), len(targets)
         vocabulary = {w: k for k, w in enumerate(sorted({w for t in targets for w in t}))}
-        table = np.zeros((n, len(vocabulary)))
+        table, counts = np.zeros((n, len(vocabulary))), np.zeros((m, len(vocabulary)))
         for j, s in enumerate(sources):
-            for w, p in s.items():
-                if w in vocabulary:
-                    table[j, vocabulary[w]] = p
-        rare = np.array([w not in COMMON for w in vocabulary], float)
+            for w in s.keys() & vocabulary.keys():
+                table[j, vocabulary[w]] = s[w]
+        np.add.at(counts, (np.repeat(np.arange(m), [len(t) for t in targets]), [vocabulary[w] for t in targets for w in t]), 1)
+        rare = np.array([w not in self.common for w in vocabulary], float)
         base = np.where(rare > 0, 0.0012, 0.03)
         size, free = np.array(sizes), np.array(unknown)
         # A common word comes from anywhere; a word with no gloss may mean any rare word.
         near = np.where(rare > 0, self.background, 0.85)
-        shared, null = np.zeros((m, n)), np.zeros(m)
         states = []
-        for span in range(1, self.max_span + 1):
-            if span > n:
-                break
+        for span in range(1, min(self.max_span, n) + 1):
             total = sum(table[k : n - span + 1 + k] for k in range(span))
             words = sum(size[k : n - span + 1 + k] for k in range(span))
             blank = sum(free[k : n - span + 1 + k] for k in range(span))
             told = (total + (blank[:, None] * 2.5) * base * rare) / np.maximum(words, 1)[:, None]
             states.append((1 - near) * told + near * base)
         log = np.log(np.concatenate(states)) if states else np.zeros((0, len(vocabulary)))
-        out = np.zeros((m, len(log)))
-        for i, t in enumerate(targets):
-            at = [vocabulary[w] for w in t]
-            out[i] = log[:, at].sum(axis=1)
-            null[i] = np.log(base[at]).sum()
-            once = list(dict.fromkeys(at))
-            shared[i] = ((table[:, once] > 0) * (0.15 + 0.85 * rare[once])).sum(axis=1)
-        return out, null, shared
+        shared = (counts > 0) @ ((table > 0) * (0.15 + 0.85 * rare)).T
+        return counts @ log.T, counts @ np.log(base), shared
 
     def far(self, n_lines: int) -> float:
         """Log odds against the null state from which a state stands at any place of a chapter: an even choice of its lines, and the moves there and back."""
@@ -124,20 +122,27 @@ class Model:
         off = np.maximum(np.maximum(va[first][None, :] - vb[:, None], vb[:, None] - va[last][None, :]), 0)
         told_by = emit
         emit = emit - 0.2 * np.minimum(np.where((va[first][None, :] < 0) | (vb[:, None] < 0), 0, off), 8)
-        move = self.jumps(first[None, :] - last[:, None]) + self.spans[span - 1][None, :] + np.log(1 - self.null)
-        stay = np.log(self.null)
-        k = len(first)
+        enter, stay, k = self.spans[span - 1] + np.log(1 - self.null), np.log(self.null), len(first)
+        # A move depends on the last line left and the first line entered alone: of the states that end in a line only the best counts.
+        move = self.jumps(np.arange(-n, n + 1))[n + np.arange(n)[None, :] - np.arange(n)[:, None]]
+        ending = np.full((span[-1], n), k)
+        ending[span - 1, last] = np.arange(k)
         # Columns 0..k-1: the state emitted the line; k..2k-1: its null twin, which remembers where it stands.
-        score = np.concatenate([self.jumps(first + 1) + self.spans[span - 1] + np.log(1 - self.null) + emit[0], self.jumps(np.where(span == 1, first + 1, 99)) + stay + null[0]])
+        score = np.concatenate([self.jumps(first + 1) + enter + emit[0], self.jumps(np.where(span == 1, first + 1, 99)) + stay + null[0]])
         back = np.zeros((m, 2 * k), np.int64)
+        lines_ = np.arange(n)
         for i in range(1, m):
-            best, from_null = np.maximum(score[:k], score[k:]), score[k:] > score[:k]
-            through = best[:, None] + move
+            from_null = score[k:] > score[:k]
+            best = np.append(np.maximum(score[:k], score[k:]), -np.inf)
+            left = best[ending]
+            of = left.argmax(axis=0)
+            through = left[of, lines_][:, None] + move
             arg = through.argmax(axis=0)
-            came = arg + k * from_null[arg]
-            back[i, :k] = came
+            came = ending[of[arg], arg]
+            came = came + k * from_null[came]
+            back[i, :k] = came[first]
             back[i, k:] = np.arange(k) + k * from_null
-            score = np.concatenate([through[arg, np.arange(k)] + emit[i], best + stay + null[i]])
+            score = np.concatenate([through[arg, lines_][first] + enter + emit[i], best[:k] + stay + null[i]])
         at, pairs = int(score.argmax()), []
         for i in range(m - 1, -1, -1):
             if at < k:
@@ -165,34 +170,39 @@ def lemma_keys(words: DataFrame) -> DataFrame:
     return n.groupBy("lex_form").agg(F.max(F.struct("n", "lemma")).alias("m")).select("lex_form", F.col("m.lemma").alias("lemma"))
 
 
+def _offsets(lists: pa.ListArray) -> pa.Array:
+    """Offsets of lists without nulls, from 0."""
+    at = np.asarray(lists.offsets)
+    return pa.array(at - at[0], pa.int32())
+
+
 def gloss_lexicon(glossary: DataFrame) -> DataFrame:
     """key, word, weight: the words of a lemma's glosses."""
     word = F.explode(F.split(F.lower(F.trim("gloss")), r"[^\p{L}'’]+"))
     return glossary.filter("lemma is not null and gloss is not null").select(F.col("lemma").alias("key"), word.alias("word")).filter("word <> ''").distinct().withColumn("weight", F.lit(GLOSS_WEIGHT))
 
 
-def learned_lexicon(pairs: DataFrame, source_words: DataFrame, target_words: DataFrame) -> DataFrame:
+def learned_lexicon(counts: DataFrame) -> DataFrame:
     """key, word, weight: target words that stand in an unusual share of the lines paired with lines of the key.
 
-    One round of re-estimation over all paired lines. A pair gives a row for each two of its own words, summed before the shuffle.
+    counts: key, word, n: paired lines with both; with a null for those of the key or of the word alone, or of all. One round of re-estimation over all
+    paired lines.
     """
-    s = pairs.join(source_words.filter(F.length("form") > 3).select(F.col("line_id").alias("source_id"), "key").distinct(), "source_id")
-    t = target_words.filter((F.length("word") > 2) & ~F.col("word").isin(*sorted(COMMON))).select(F.col("line_id").alias("target_id"), "word").distinct()
-    of_key = s.groupBy("key").agg(F.countDistinct("source_id", "target_id").alias("n_key"))
-    of_word = pairs.select("target_id").join(t, "target_id").groupBy("word").agg(F.count("*").alias("n_word"))
-    both = s.join(t, "target_id").groupBy("key", "word").agg(F.count("*").alias("n")).filter("n >= 3")
-    total = pairs.count()
+    n = written(counts.groupBy("key", "word").agg(F.sum("n").alias("n")), "alignment-counts")
+    of_key = n.filter("key is not null and word is null").select("key", F.col("n").alias("n_key"))
+    of_word = n.filter("key is null and word is not null").select("word", F.col("n").alias("n_word"))
+    total = n.filter("key is null and word is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     share = F.col("n") / F.col("n_key")
-    out = both.join(of_key, "key").join(of_word, "word").withColumn("weight", share)
+    out = n.filter("key is not null and word is not null and n >= 3").join(of_key, "key").join(of_word, "word").withColumn("weight", share)
     return out.filter((share >= 0.1) & (share * total >= 5 * F.col("n_word"))).select("key", "word", "weight")
 
 
 def with_lexicon(source_words: DataFrame, entries: DataFrame) -> DataFrame:
-    """line_id, forms, glosses: the words of a line in order, each with its target words and weights as text. Shuffled by key, never collected."""
-    own = entries.groupBy("key", "word").agg(F.max("weight").alias("weight")).groupBy("key").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "word", F.round("weight", 4).cast("string")))), " ").alias("glosses"))
-    told = source_words.join(own, "key", "left")
-    ordered = F.array_sort(F.collect_list(F.struct("at", "form", F.coalesce("glosses", F.lit("")).alias("glosses"))))
-    return told.groupBy("line_id").agg(ordered.alias("words")).select("line_id", F.col("words.form").alias("forms"), F.col("words.glosses").alias("glosses"))
+    """line_id, glosses: for each word of a line in order its target words and weights as text. Shuffled by key, never collected."""
+    own = entries.groupBy("key").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "word", F.col("weight").cast("string")))), " ").alias("glosses"))
+    told = source_words.select("line_id", F.posexplode("keys").alias("at", "key")).join(own, "key", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("at", F.coalesce("glosses", F.lit("")).alias("glosses"))))
+    return told.groupBy("line_id").agg(ordered.alias("words")).select("line_id", F.col("words.glosses").alias("glosses"))
 
 
 def n_windows(lines: int) -> Column:
@@ -219,15 +229,38 @@ def line_windows(df: DataFrame, lines: int, halo: int) -> DataFrame:
 
 def aligned_lines(
     source: DataFrame, target: DataFrame, words: DataFrame, glossary: DataFrame, model: Model | None = None, lines: int = 400, halo: int = 12, lines_per_group: int = 2000, learn: bool = True,
+    spell: Callable[[str], str] = spelled, max_entries: int = 500_000,
 ) -> DataFrame:
-    """source_id, target_id. source, target: line_id, slug, chapter, verse, line_no, text, loaded_at. learn: decode, learn a lexicon, decode again."""
+    """source_id, target_id. source, target: line_id, slug, chapter, verse, line_no, text, loaded_at. learn: decode, learn a lexicon, decode again.
+
+    spell: a name of the source language in the target's letters. max_entries: a lexicon of that many rows goes to the tasks (some 20 MB), a larger one is joined.
+    """
     model = model or Model()
+    spark = source.sparkSession
     cols = ["line_id", "slug", "chapter", "verse", "line_no", "text", "loaded_at"]
     src, tgt = (latest_rows(x.select(*cols), ["line_id"]).filter("slug is not null and chapter is not null and line_id is not null") for x in (source, target))
-    src, tgt = written(src.drop("loaded_at"), "alignment-source"), written(tgt.filter("text is not null").withColumn("forms", tokens(F.col("text"))).filter(F.size("forms") > 0).drop("text", "loaded_at"), "alignment-target")
+    tgt = written(tgt.filter("text is not null").withColumn("forms", tokens(F.col("text"))).filter(F.size("forms") > 0).drop("text", "loaded_at"), "alignment-target")
     forms = F.filter(F.split("text", r"[^\p{L}\p{M}'’]+"), lambda w: w != "")
-    word = src.select("line_id", F.posexplode(forms).alias("at", "form")).withColumn("lex_form", F.lower("form"))
-    word = written(word.join(lemma_keys(words), "lex_form", "left").select("line_id", "at", "form", F.coalesce("lemma", "lex_form").alias("key")), "alignment-words")
+    src = src.withColumn("forms", forms).drop("text", "loaded_at")
+    # A form's lemma is looked up once for each form, not for each of its places.
+    known = src.select(F.explode("forms").alias("form")).distinct().withColumn("lex_form", F.lower("form"))
+    known = written(known.join(lemma_keys(words), "lex_form", "left").select("form", F.coalesce("lemma", "lex_form").alias("key")), "alignment-forms")
+    if known.count() <= max_entries:
+        lemma = spark.sparkContext.broadcast({r.form: r.key for r in known.collect()})
+
+        def keyed(batches):
+            get = lemma.value.get
+            for batch in batches:
+                lists = batch.column("forms")
+                flat = pa.array([get(f) for f in lists.flatten().to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(_offsets(lists), flat)], names=[*batch.schema.names, "keys"])
+
+        full = src.filter("forms is not null")
+        src = full.mapInArrow(keyed, T.StructType([*full.schema.fields, T.StructField("keys", T.ArrayType(T.StringType()))])).unionByName(src.filter("forms is null").withColumn("keys", F.lit(None).cast("array<string>")))
+    else:
+        told = src.select("line_id", F.posexplode("forms").alias("at", "form")).join(known, "form").groupBy("line_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "key"))), lambda x: x["key"]).alias("keys"))
+        src = src.join(told, "line_id", "left")
+    src = written(src, "alignment-source")
     size = lambda df: df.groupBy("slug", "chapter").agg(F.count("*").alias("n"), F.max("verse").alias("v"))
     chapters = size(src).join(size(tgt).select("slug", "chapter", F.col("n").alias("n2"), F.col("v").alias("v2")), ["slug", "chapter"])
     chapters = written(chapters.select("slug", "chapter", F.greatest("n", "n2").alias("n_lines"), F.coalesce(F.greatest("v", "v2"), F.lit(0)).alias("last_verse")), "alignment-chapters")
@@ -235,14 +268,30 @@ def aligned_lines(
     groups = max(1, -(-n_all // lines_per_group))
     key = F.pmod(F.xxhash64("slug", "chapter", "window"), F.lit(groups))
     kinds = (source.schema["line_id"].dataType.simpleString(), target.schema["line_id"].dataType.simpleString())
-    place = src.drop("text")
 
-    def read(x: pa.Table, y: pa.Table):
+    def read(x: pa.Table, y: pa.Table, lexicon: dict[str, dict[str, float]] | None):
         """For each window of a bucket: source rows, target rows, and the source's words, sizes and unknown words."""
         by: dict[tuple, tuple[list, list]] = {}
         for at, table in ((0, x), (1, y)):
             for r in table.drop_columns(["bucket"]).to_pylist():
                 by.setdefault((r["slug"], r["chapter"], r["window"], r.get("part")), ([], []))[at].append(r)
+        held: dict[tuple, tuple[dict, float, float]] = {}
+
+        def means(form: str, of: str) -> tuple[dict, float, float]:
+            """What a word may mean and how likely, its size, and its share of unknown words. of: its key, or its glosses as text."""
+            if (form, of) not in held:
+                if lexicon is None:
+                    parts = of.split()
+                    meant = dict(zip(parts[::2], map(float, parts[1::2])))
+                else:
+                    meant = dict(lexicon.get(of, ()))
+                if form[:1].isupper():
+                    meant.setdefault(spell(form), 0.5)
+                total = max(sum(meant.values()), 0.5)
+                guess = 0.0 if meant else 1.0 if len(form) > 4 else 0.0
+                held[form, of] = {g: w / total for g, w in meant.items()}, 1.0 if meant else guess, guess
+            return held[form, of]
+
         for one, other in by.values():
             one.sort(key=lambda r: (r["verse"] or 0, r["line_no"] or 0, r["line_id"]))
             other.sort(key=lambda r: (r["verse"] or 0, r["line_no"] or 0, r["line_id"]))
@@ -250,35 +299,51 @@ def aligned_lines(
             for r in one:
                 can: dict[str, float] = {}
                 n, blank = 0.0, 0.0
-                for form, glosses in zip(r["forms"], r["glosses"]):
-                    parts = glosses.split()
-                    meant = dict(zip(parts[::2], map(float, parts[1::2])))
-                    if form[:1].isupper():
-                        meant.setdefault(spelled(form), 0.5)
-                    total = max(sum(meant.values()), 0.5)
-                    for g, weight in meant.items():
-                        can[g] = can.get(g, 0.0) + weight / total
-                    guess = 0.0 if meant else 1.0 if len(form) > 4 else 0.0
-                    n, blank = n + (1.0 if meant else guess), blank + guess
+                for form, of in zip(r["forms"] or (), (r["keys"] if lexicon is not None else r["glosses"]) or ()):
+                    meant, one_n, one_blank = means(form, of)
+                    for g, w in meant.items():
+                        can[g] = can.get(g, 0.0) + w
+                    n, blank = n + one_n, blank + one_blank
                 sources.append(can)
                 sizes.append(n)
                 unknown.append(blank)
             yield one, other, (sources, sizes, unknown)
 
-    def decode(x: pa.Table, y: pa.Table) -> pa.Table:
+    def decoded(one: list[dict], other: list[dict], told: tuple, odds: list[float] | None = None) -> list[tuple[int, int]]:
+        return model.decode(*told, [r["forms"] for r in other], tuple([-1 if r["verse"] is None else r["verse"] for r in z] for z in (one, other)), odds)
+
+    def decode(x: pa.Table, y: pa.Table, lexicon) -> pa.Table:
         left, right, settled = [], [], []
-        for one, other, told in read(x, y):
+        for one, other, told in read(x, y, lexicon):
             odds = [-np.inf] * len(other)
-            for j, i in model.decode(*told, [r["forms"] for r in other], tuple([-1 if r["verse"] is None else r["verse"] for r in z] for z in (one, other)), odds):
+            for j, i in decoded(one, other, told, odds):
                 if other[i]["core"]:
                     left.append(one[j]["line_id"])
                     right.append(other[i]["line_id"])
                     settled.append(odds[i] >= model.far(other[i]["n_lines"]))
         return pa.table({"source_id": pa.array(left, x.schema.field("line_id").type), "target_id": pa.array(right, y.schema.field("line_id").type), "settled": pa.array(settled, pa.bool_())})
 
-    def search(x: pa.Table, y: pa.Table) -> pa.Table:
+    def count(x: pa.Table, y: pa.Table, lexicon) -> pa.Table:
+        """Paired lines by key and word, by key, by word, and all (see learned_lexicon)."""
+        n: Counter = Counter()
+        for one, other, told in read(x, y, lexicon):
+            keys, meant = {}, {}
+            for j, i in decoded(one, other, told):
+                if not other[i]["core"]:
+                    continue
+                if j not in keys:
+                    keys[j] = {k for f, k in zip(one[j]["forms"], one[j]["keys"]) if len(f) > 3}
+                if i not in meant:
+                    meant[i] = {w for w in other[i]["forms"] if len(w) > 2 and w not in model.common}
+                n[None, None] += 1
+                n.update((k, None) for k in keys[j])
+                n.update((None, w) for w in meant[i])
+                n.update(product(keys[j], meant[i]))
+        return pa.table({"key": pa.array([k for k, _ in n], pa.string()), "word": pa.array([w for _, w in n], pa.string()), "n": pa.array(list(n.values()), pa.int64())})
+
+    def search(x: pa.Table, y: pa.Table, lexicon) -> pa.Table:
         left, right, best, window = [], [], [], []
-        for one, other, told in read(x, y):
+        for one, other, told in read(x, y, lexicon):
             for r, (odds, lines_) in zip(other, model.search(*told, [r["forms"] for r in other])):
                 if lines_ and odds >= model.far(r["n_lines"]):
                     left.append([one[j]["line_id"] for j in lines_])
@@ -287,13 +352,29 @@ def aligned_lines(
                     window.append(r["window"])
         return pa.table({"source_ids": pa.array(left, pa.list_(x.schema.field("line_id").type)), "target_id": pa.array(right, y.schema.field("line_id").type), "odds": pa.array(best, pa.float64()), "window": pa.array(window, pa.int32())})
 
-    def align(entries: DataFrame) -> DataFrame:
-        s = place.join(with_lexicon(word, entries), "line_id")
+    def placed(entries: DataFrame):
+        """Both sides in windows and buckets, and what gives the functions their lexicon."""
+        entries = written(entries.groupBy("key", "word").agg(F.round(F.max("weight"), 4).alias("weight")), "alignment-lexicon")
+        if entries.count() <= max_entries:
+            lexicon: dict[str, dict[str, float]] = {}
+            for r in entries.collect():
+                lexicon.setdefault(r.key, {})[r.word] = r.weight
+            held = spark.sparkContext.broadcast(lexicon)
+            bind, s = lambda f: lambda x, y: f(x, y, held.value), src
+        else:
+            bind, s = lambda f: lambda x, y: f(x, y, None), src.join(with_lexicon(src, entries), "line_id", "left")
         a, b = (line_windows(x.join(chapters, ["slug", "chapter"]), lines, halo).drop("last_verse").withColumn("bucket", key) for x in (s, tgt))
-        a = a.drop("n_lines")
+        return a.drop("n_lines"), b, bind
+
+    def learned(entries: DataFrame) -> DataFrame:
+        a, b, bind = placed(entries)
+        return learned_lexicon(a.groupBy("bucket").cogroup(b.filter("window >= 0").groupBy("bucket")).applyInArrow(bind(count), "key string, word string, n bigint"))
+
+    def align(entries: DataFrame) -> DataFrame:
+        a, b, bind = placed(entries)
         if most > lines:
             a, b = written(a, "alignment-windows"), b.filter("window >= 0")
-        near = a.groupBy("bucket").cogroup(b.groupBy("bucket")).applyInArrow(decode, f"source_id {kinds[0]}, target_id {kinds[1]}, settled boolean")
+        near = a.groupBy("bucket").cogroup(b.groupBy("bucket")).applyInArrow(bind(decode), f"source_id {kinds[0]}, target_id {kinds[1]}, settled boolean")
         if most <= lines:
             return near.drop("settled")
         near = written(near, "alignment-near")
@@ -307,13 +388,10 @@ def aligned_lines(
         y = rest.join(parts, ["slug", "chapter"]).withColumn("part", F.pmod(F.xxhash64("line_id"), F.col("parts")).cast("int")).withColumn("window", F.explode(F.sequence(F.lit(-1), F.col("windows") - 1)))
         x = a.join(parts, ["slug", "chapter"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         x, y = (z.drop("parts", "windows", "n_rest").withColumn("bucket", bucket) for z in (x, y))
-        far = x.groupBy("bucket").cogroup(y.groupBy("bucket")).applyInArrow(search, f"source_ids array<{kinds[0]}>, target_id {kinds[1]}, odds double, window int")
+        far = x.groupBy("bucket").cogroup(y.groupBy("bucket")).applyInArrow(bind(search), f"source_ids array<{kinds[0]}>, target_id {kinds[1]}, odds double, window int")
         far = written(far.groupBy("target_id").agg(F.max_by("source_ids", F.struct("odds", -F.col("window"))).alias("source_ids")), "alignment-far")
         found = far.select(F.explode("source_ids").alias("source_id"), "target_id")
         return near.drop("settled").join(far.select("target_id"), "target_id", "left_anti").select("source_id", "target_id").unionByName(found)
 
     entries = gloss_lexicon(glossary)
-    if learn:
-        first = written(align(entries).distinct(), "alignment-first")
-        entries = entries.unionByName(written(learned_lexicon(first, word, tgt.select("line_id", F.explode("forms").alias("word"))), "alignment-lexicon"))
-    return align(entries)
+    return align(entries.unionByName(learned(entries)) if learn else entries)
