@@ -25,18 +25,26 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stichos.common import small_side, written
 
 
-def tokenizer(path: str):
-    """Counts the tokens of texts: a list of texts to a list of counts. path: a .tiktoken file of ranks."""
-    import public_tokenizers
-    import tiktoken
+#: How the public byte-level tokenizers cut a text before merging.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
 
-    with open(path) as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    coder = tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+def tokenizer(path: str, pattern: str = PATTERN):
+    """Counts the tokens of texts: a list of texts to a list of counts. path: a .tiktoken file of ranks. A Python worker reads it once for all its tasks."""
+    import tiktoken
+    from tiktoken import registry
+
+    name = f"{path} {pattern}"
+    coder = registry.ENCODINGS.get(name)
+    if coder is None:
+        with open(path) as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        coder = registry.ENCODINGS[name] = tiktoken.Encoding(os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     return lambda texts: [len(coder.encode_ordinary(t)) for t in texts]
 
 
@@ -155,7 +163,20 @@ def pack(
     return out.select(F.col("id").alias(id_col), "piece", "n_tokens", F.col("box").alias("container"), "token_at")
 
 
-def container_report(packed: DataFrame, capacity: int) -> DataFrame:
-    """One row: containers, tokens, space left over as a share."""
-    boxes = packed.filter("container is not null").groupBy("container").agg(F.sum("n_tokens").alias("used"))
-    return boxes.agg(F.count("*").alias("n_containers"), F.sum("used").alias("n_tokens"), F.max("used").alias("most_used"), (1 - F.sum("used") / (F.count("*") * F.lit(capacity))).alias("unused_share"))
+def audit(packed: DataFrame, id_col: str, capacity: int, unused: float = 0.02) -> DataFrame:
+    """One row on a packing: n_rows (texts), n_empty (texts with no container), and what must be 0 or true: n_over (containers over the
+    capacity), n_gaps (pieces that don't begin where the piece before ends, or the container), n_split (texts whose pieces before the last are not
+    full, or are not numbered from 0), full (the share left over is under unused, the last container aside). Ids are taken to be unique."""
+    in_box = Window.partitionBy("container").orderBy("token_at")
+    placed = packed.filter("container is not null")
+    gap = F.col("token_at") != F.coalesce(F.lag(F.col("token_at") + F.col("n_tokens")).over(in_box), F.lit(0))
+    boxes = placed.withColumn("gap", gap).groupBy("container").agg(F.sum("n_tokens").alias("used"), F.count_if("gap").alias("gaps"))
+    spare = 1 - F.sum("used") / (F.greatest(F.count("*") - 1, F.lit(1)) * F.lit(capacity))
+    told = boxes.agg(F.count_if(F.col("used") > capacity).alias("n_over"), F.coalesce(F.sum("gaps"), F.lit(0)).alias("n_gaps"), F.coalesce(spare < unused, F.lit(True)).alias("full"))
+    full = F.count_if(F.col("n_tokens") == capacity)
+    texts = packed.groupBy(id_col).agg(F.count("*").alias("n"), full.alias("n_full"), F.max("piece").alias("last"), F.countDistinct("piece").alias("n_pieces"))
+    wrong = (F.col("n_full") < F.col("n") - 1) | (F.col("last") != F.col("n") - 1) | (F.col("n_pieces") != F.col("n"))
+    sizes = texts.agg(F.count("*").alias("n_rows"), F.count_if(wrong).alias("n_split"))
+    empty = packed.agg(F.count_if(F.col("container").isNull()).alias("n_empty"))
+    one = sizes.unionByName(empty, True).unionByName(told, True)  # three rows
+    return one.agg(*[F.max(c).alias(c) for c in ("n_rows", "n_empty", "n_over", "n_gaps", "n_split", "full")])

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stichos.common import read_table
+from stichos.common import read_table, written
 from stichos.llm import alignment, leaks, packing, spam
 
 
@@ -29,6 +29,11 @@ def p6_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(read_table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", TOKENIZER, CAPACITY)
 
 
+def p6_audit(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of p6_containers; its SQL counts the texts and states the rest."""
+    return packing.audit(written(p6_containers(spark, d), "packing-audit"), "doc_id", CAPACITY)
+
+
 def p7_passages(spark: SparkSession, d: str) -> DataFrame:
     docs, items = read_table(spark, d, "documents", "doc_id", "text"), read_table(spark, d, "eval_item", "item_id", "lang", "text")
     return leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text", "lang")
@@ -38,5 +43,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_passages(spark, d).select("doc_id", "item_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_containers, p7_found, p8_found)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p4_found, p6_containers, p6_audit, p7_found, p8_found)}
+SQL: dict[str, str] = {
+    "p6_audit": "select count(*) n_rows, count(*) filter (coalesce(text, '') = '') n_empty, 0::bigint n_over, 0::bigint n_gaps, 0::bigint n_split, true as \"full\" from documents",
+}

@@ -139,6 +139,16 @@ def test_packing(spark, merge_rows):
     assert packing.pack(df.limit(0), "doc_id", "text", TOKENIZER, cap).count() == 0
 
 
+def test_audit_sees_what_is_wrong(spark):
+    rows = [(1, 0, 10, 2, 0), (1, 1, 3, 4, 0), (2, 0, 7, 4, 3), (3, 0, 0, None, None)]
+    schema = "doc_id long, piece int, n_tokens int, container long, token_at int"
+    told = lambda x: tuple(packing.audit(spark.createDataFrame(x, schema), "doc_id", 10, 0.1).first())
+    assert told(rows) == (3, 1, 0, 0, 0, True)
+    assert told([*rows, (4, 0, 1, 4, 9)]) == (4, 1, 1, 1, 0, True)
+    assert told([(1, 0, 9, 2, 0), (1, 1, 3, 4, 0), (5, 1, 1, 6, 0)]) == (2, 0, 0, 0, 2, False)
+    assert told([]) == (0, 0, 0, 0, 0, True)
+
+
 def test_packer_is_best_fit_and_bounded():
     p = packing.Packer(10, 2)
     assert [p.put(n) for n in (6, 7, 3, 4, 5, 9)] == [(0, 0, None), (1, 0, None), (1, 7, None), (0, 6, None), (2, 0, None), (3, 0, None)]
