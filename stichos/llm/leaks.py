@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 NOTE = re.compile(r"\\(f|x)\s.*?\\\1\*", re.S)
-MARK = re.compile(r"\\\+?[a-z]+\d?\*?|<[^<>\n]{1,200}>|&[a-z]{2,6};")
+MARK = re.compile(r"\\\+?[a-z]+\d?\*?|<[^<>\n]+>|&[a-z]{2,6};")
 BROKEN = re.compile(r"(?<=[^\W\d_])[-‐\u00ad][ \t]*\r?\n[ \t]*(?=[^\W\d_])")
 HIDDEN = re.compile("[\u0300-\u036f\u00ad\u200b-\u200d\u2060\ufeff]")
 WORD = re.compile(r"[^\W\d_]+")
@@ -174,9 +174,9 @@ class Index:
         pairs = np.unique(np.concatenate(where) * max(len(self.prints_), 1) + np.concatenate(what))
         return pairs // max(len(self.prints_), 1), pairs % max(len(self.prints_), 1)
 
-    def align(self, cases: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> list[tuple[float, int, int, int, int, int, float]]:
+    def align(self, cases: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> list[tuple[float, int, int, int, int, int, float, int]]:
         """The best local alignment of each (item, words of a document, windows in the item, windows in the words): score, first and last word
-        (one past) in the item and in the document, words matched, weight matched.
+        (one past) in the item and in the document, words matched, weight matched, the longest run of words matched one after the other.
 
         Small cases are done together, as many as make `cells` cells; a large one by itself, in a band along its windows.
         """
@@ -217,7 +217,7 @@ class Index:
         for r, c in enumerate(part):
             out[c] = self.trace(lambda i, j, r=r: h[r, i, j], a[r], wa[r], b[r], *divmod(int(best[r]), m + 1))
 
-    def align_band(self, item: int, words_: np.ndarray, at_item: np.ndarray, at_words: np.ndarray) -> tuple[float, int, int, int, int, int, float]:
+    def align_band(self, item: int, words_: np.ndarray, at_item: np.ndarray, at_words: np.ndarray) -> tuple[float, int, int, int, int, int, float, int]:
         """One case in a band of 2 * band + 1 words of the document along the line through its windows."""
         s, a, b = self.s, self.items[item], words_
         n, m, wide = len(a), len(b), 2 * self.s.band + 1
@@ -252,21 +252,23 @@ class Index:
         i, k = divmod(int(h.argmax()), wide)
         return self.trace(cell, a, wa, b, i, int(k + start[i]))
 
-    def trace(self, h, a: np.ndarray, wa: np.ndarray, b: np.ndarray, i: int, j: int) -> tuple[float, int, int, int, int, int, float]:
+    def trace(self, h, a: np.ndarray, wa: np.ndarray, b: np.ndarray, i: int, j: int) -> tuple[float, int, int, int, int, int, float, int]:
         """The alignment that ends in cell (i, j) of h."""
         s, score = self.s, float(h(i, j))
-        i1, j1, matched, weight = i, j, 0, 0.0
+        i1, j1, matched, weight, run, longest = i, j, 0, 0.0, 0, 0
         if score >= s.piece_score:
             while i and j and h(i, j) > 1e-4:
                 w, same = float(wa[i - 1]), a[i - 1] == b[j - 1]
                 v = h(i, j)
                 if abs(v - (h(i - 1, j - 1) + (w if same else -s.unlike * max(w, 0.25)))) < 1e-3:
                     matched, weight, i, j = matched + bool(same), weight + w * bool(same), i - 1, j - 1
+                    run = run + 1 if same else 0
+                    longest = max(longest, run)
                 elif abs(v - (h(i, j - 1) - s.added)) < 1e-3:
-                    j -= 1
+                    j, run = j - 1, 0
                 else:
-                    i -= 1
-        return score, i, i1, j, j1, matched, weight
+                    i, run = i - 1, 0
+        return score, i, i1, j, j1, matched, weight, longest
 
     def pieces(self, codes: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], list[tuple]]:
         """For many documents end to end (bounds: where each begins, and the end): (document, item) -> verified pieces."""
@@ -308,13 +310,13 @@ class Index:
                 cases.append((k, codes[lo:hi], i[f : e + 1], at[f : e + 1] - lo))
                 spots.append((f, lo))
             done = np.zeros(len(at), bool)
-            for g, (f, lo), (score, i0, i1, j0, j1, matched, wt) in zip(chosen, spots, self.align(cases)):
+            for g, (f, lo), (score, i0, i1, j0, j1, matched, wt, run) in zip(chosen, spots, self.align(cases)):
                 e = int(last[g]) + 1
                 if score < s.piece_score or i1 - i0 < s.piece_words - 1:
                     done[f:e] = True
                     continue
                 full = float(self.weight[self.items[int(item[f])][i0:i1]].sum())
-                piece = (lo + j0, lo + j1, i0, i1, score, matched, wt, full)
+                piece = (lo + j0, lo + j1, i0, i1, score, matched, wt, full, run)
                 if wt / max(full, 1e-6) >= s.min_share:
                     found[(int(doc[f]), int(item[f]))].append(piece)
                     hit = (at[f:e] + s.window > lo + j0) & (at[f:e] < lo + j1)
@@ -338,7 +340,7 @@ class Index:
 
 
 def leaked_passages(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, lang: str | None = None, settings: Settings | None = None) -> DataFrame:
-    """doc_id, item_id, n_words (of the item), score: one row for each document and item with a case."""
+    """doc_id, item_id, n_words (of the item), n_run (the most of them in a run, word for word), score: one row for each document and item with a case."""
     s = settings or Settings()
     rows = items.select(F.col(item_id).alias("i"), (F.col(lang) if lang else F.lit("")).alias("g"), F.col(item_text).alias("t")).filter("t is not null")
     total = rows.agg(F.coalesce(F.sum(F.size(F.split("t", r"\s+"))), F.lit(0))).first()[0]
@@ -357,7 +359,7 @@ def leaked_passages(docs: DataFrame, doc_id: str, text: str, items: DataFrame, i
             get = index.code.get
             ids = pa.array(index.ids, item_type)
             for batch in batches:
-                docs_, items_, sizes, scores = [], [], [], []
+                docs_, items_, sizes, runs, scores = [], [], [], [], []
                 texts, at = batch.column(1), 0
                 while at < len(texts):
                     codes, bounds, begin = [], [0], at
@@ -373,10 +375,11 @@ def leaked_passages(docs: DataFrame, doc_id: str, text: str, items: DataFrame, i
                             docs_.append(begin + d)
                             items_.append(i)
                             sizes.append(n)
+                            runs.append(max(p[8] for p in pieces))
                             scores.append(score)
                 found = ids.take(pa.array(items_, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(docs_, pa.int32())), found, pa.array(sizes, pa.int32()), pa.array(scores, pa.float64())], names=["d", "i", "n_words", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(docs_, pa.int32())), found, pa.array(sizes, pa.int32()), pa.array(runs, pa.int32()), pa.array(scores, pa.float64())], names=["d", "i", "n_words", "n_run", "score"])
 
-        told = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).filter("t is not null").mapInArrow(run, f"d {kinds[0]}, i {kinds[1]}, n_words int, score double")
+        told = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).filter("t is not null").mapInArrow(run, f"d {kinds[0]}, i {kinds[1]}, n_words int, n_run int, score double")
         out = told if out is None else out.unionByName(told)
-    return out.select(F.col("d").alias(doc_id), F.col("i").alias(item_id), "n_words", "score")
+    return out.select(F.col("d").alias(doc_id), F.col("i").alias(item_id), "n_words", "n_run", "score")

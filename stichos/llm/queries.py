@@ -43,7 +43,18 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_passages(spark, d).select("doc_id", "item_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_containers, p6_audit, p7_found, p8_found)}
+def p7_verbatim(spark: SparkSession, d: str) -> DataFrame:
+    """Of p7_passages those with 15 words of the item in a run, word for word. The SQL finds them by shingles of 15 words, so it tells what the search misses."""
+    return p7_passages(spark, d).filter("n_run >= 15").select("doc_id", "item_id").distinct()
+
+
+# The plain form of a text in SQL, stated apart from leaks.words.
+_PLAIN = r"""list_filter(regexp_extract_all(replace(lower(strip_accents(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(replace(text, 'ﬁ', 'fi'), 'ﬂ', 'fl'),
+  '\\f\s.*?\\f\*', ' ', 'gs'), '\\x\s.*?\\x\*', ' ', 'gs'), '\\\+?[a-z]+[0-9]?\*?|<[^<>\n]+>|&[a-z]{2,6};', ' ', 'g'), '(\p{L})[-‐\x{ad}][ \t]*\r?\n[ \t]*(\p{L})', '\1\2', 'g'), '[\x{ad}\x{200b}-\x{200d}\x{2060}\x{feff}]', '', 'g'))), 'ς', 'σ'), '\p{L}+'), lambda w: w <> '')"""
+_SHINGLES = "(select distinct {0}, array_to_string(w[k:k + 14], ' ') g from (select {0}, w, unnest(range(1, len(w) - 13)) k from (select {0}, {1} w from {2} where text is not null)))"
+
+QUERIES = {f.__name__: f for f in (p4_found, p6_containers, p6_audit, p7_found, p7_verbatim, p8_found)}
 SQL: dict[str, str] = {
     "p6_audit": "select count(*) n_rows, count(*) filter (coalesce(text, '') = '') n_empty, 0::bigint n_over, 0::bigint n_gaps, 0::bigint n_split, true as \"full\" from documents",
+    "p7_verbatim": f"select distinct doc_id, item_id from {_SHINGLES.format('doc_id', _PLAIN, 'documents')} join {_SHINGLES.format('item_id', _PLAIN, 'eval_item')} using (g)",
 }

@@ -267,6 +267,13 @@ def test_alignment(spark, hot):
     assert alignment.aligned_lines(src, tgt.limit(0), words, gloss).count() == 0
 
 
+def test_a_joined_lexicon_is_the_same(spark):
+    """With no room for a lexicon in the tasks, forms and entries are joined."""
+    src, tgt, words, gloss, _ = corpus(spark)
+    one, two = ({tuple(r) for r in alignment.aligned_lines(src, tgt, words, gloss, max_entries=n).collect()} for n in (500_000, 0))
+    assert one == two
+
+
 def test_windows_reach_lines_with_no_verse_and_lines_moved_far(spark):
     """A chapter in windows: sources and targets with a null verse, and lines moved far, pair as the others do."""
     r = random.Random(10)
