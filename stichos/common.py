@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +59,24 @@ def drop_stages(spark: SparkSession) -> int:
     return n
 
 
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """What is written inside is deleted at the end: with stages(spark): query(..).write.."""
+    held, _stages[:] = list(_stages), []
+    try:
+        yield
+    finally:
+        drop_stages(spark)
+        _stages[:] = held
+
+
+@atexit.register
+def _drop_own_dirs() -> None:
+    """The temporary folders of sessions without a shared folder go with the process."""
+    for path in _own_dirs.values():
+        shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+
+
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast if the counted rows are under the bound; else the planner shuffles both sides."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -41,9 +41,9 @@ def line_left_join(left: DataFrame, right: DataFrame, verse: list[str]) -> DataF
 
 
 def remap(df: DataFrame, table: DataFrame, keys: list[str], number: str) -> DataFrame:
-    """Renumbers by a table of rules (keys.., first, last, shift): numbers in first..last move by shift; a null shift drops the row."""
+    """Renumbers by a table of rules (keys.., first, last, shift): numbers in first..last (null: without end) move by shift; a null shift drops the row."""
     t = table.select(*[F.col(k).alias(f"__{k}") for k in keys], "first", "last", "shift")
-    on = [F.col(k) == F.col(f"__{k}") for k in keys] + [F.col(number).between(F.col("first"), F.col("last"))]
+    on = [F.col(k) == F.col(f"__{k}") for k in keys] + [(F.col(number) >= F.col("first")) & (F.col(number) <= F.coalesce("last", F.col(number)))]
     out = df.join(F.broadcast(t), on, "left")  # one row a rule, whatever the data
     gone = F.col("first").isNotNull() & F.col("shift").isNull()
     return out.filter(~gone).withColumn(number, F.col(number) + F.coalesce("shift", F.lit(0))).select(*df.columns)

@@ -19,6 +19,13 @@ def compare_sides(left: DataFrame, right: DataFrame, keys: list[str], value: str
     return left.select(*keys, F.col(value).alias("left_value")).join(right.select(*keys, F.col(value).alias("right_value")), keys, how).fillna("", ["left_value", "right_value"])
 
 
+def shared(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides without the rows of files (keys) that only one of them has."""
+    a, b = left.select(*keys).distinct(), right.select(*keys).distinct()
+    both = a.join(b, keys, "left_semi")
+    return left.join(both, keys, "left_semi"), right.join(both, keys, "left_semi")
+
+
 def first_mismatches(rows: DataFrame, order: list[str], n: int) -> DataFrame:
     """The first n differing rows, a top-k report."""
     return rows.filter("left_value <> right_value").orderBy(*order).limit(n)

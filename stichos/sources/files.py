@@ -1,4 +1,4 @@
-"""Sources of text files. Each scan reads whole files as rows and splits them in the JVM; paths may be globs.
+"""Sources of text files, read by line; what runs on from line to line is a window over a file. Paths may be globs.
 
 Lines end at \\n, \\r\\n or \\r. Files that match nothing give no rows where `optional` is true.
 """
@@ -16,11 +16,16 @@ FILE = r"([^/]+)-(\d+)\.txt$"
 
 
 def file_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """path, line_no (from 1), line; the empty piece after the last newline is no line."""
-    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    parts = F.split(F.regexp_replace("value", "\r\n?", "\n"), "\n", -1)
-    parts = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-    return raw.select("path", F.posexplode(parts).alias("n", "line")).select("path", (F.col("n") + 1).alias("line_no"), "line")
+    """path, line_no (from 1), line; the empty piece after the last newline is no line.
+
+    Files are read by line and may be split: a line's number is its place in the block it was read in, and the lines of the file's blocks before.
+    """
+    at = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")]
+    raw = spark.read.text(paths).select(*at, F.col("value").alias("line"))
+    blocks = raw.groupBy("path", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select("path", "block", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("shift"))
+    return raw.join(blocks, ["path", "block"]).select("path", (F.col("id") + F.col("shift")).cast("int").alias("line_no"), "line")
 
 
 def _fill(c: Column, w) -> Column:
@@ -37,7 +42,7 @@ def sense_line_rows(lines: DataFrame, file_col: str = "path") -> DataFrame:
     last = marked.groupBy(file_col, "__ref").agg(F.max("__at").alias("__at"))
     body = marked.filter("not __is").select(file_col, "__ref", "__at", "line_no", "__t").join(last, [file_col, "__ref", "__at"], "left_semi")
     body = body.withColumn("__last", F.max(F.when(F.col("__t") != "", F.col("line_no"))).over(Window.partitionBy(file_col, "__ref"))).filter(F.col("line_no") <= F.col("__last"))
-    number = lambda k: F.try_to_number(F.split_part("__ref", F.lit(":"), F.lit(k)), F.lit("999999999")).cast("int")
+    number = lambda k: F.split_part("__ref", F.lit(":"), F.lit(k)).try_cast("int")
     return body.select(file_col, number(1).alias("chapter"), number(2).alias("verse"), (F.col("line_no") - F.col("__at")).cast("int").alias("line_no"), F.col("__t").alias("text"))
 
 
