@@ -87,20 +87,22 @@ def _why(n_columns: int) -> Column:
     return F.when(F.col("__cut.bad") | F.col("__cut.open").isNotNull(), "quoting").when(F.size("__cut.cells") != n_columns, "column_count")
 
 
-def reject_reasons(df: DataFrame, id_col: str, line: str, rules: Sequence[Rule] = CONLLU_RULES, n_columns: int = len(CONLLU_COLUMNS)) -> DataFrame:
-    """Distinct (id_col, reason) of the lines that break a rule."""
+def reject_reasons(df: DataFrame, id_col: str, line: str, rules: Sequence[Rule] = CONLLU_RULES, n_columns: int = len(CONLLU_COLUMNS), carry: Sequence[str] = ()) -> DataFrame:
+    """Distinct (id_col, reason) of the lines that break a rule, and the columns of carry."""
     asked = sorted({r.column for r in rules if r.column})
     cells = F.when(_why(n_columns).isNotNull(), F.array(F.struct(F.lit(0).alias("col"), _why(n_columns).alias("value")))).otherwise(
         F.array(*[F.struct(F.lit(c).alias("col"), F.get("__cut.cells", F.lit(c - 1)).alias("value")) for c in asked])
     )
-    exploded = data_lines(df.select(F.col(id_col).alias("__id"), F.col(line).alias("__line")), "__line").select(
-        "__id", F.coalesce(F.get("__cut.cells", F.lit(0)).rlike(PLAIN), F.lit(False)).alias("plain"), F.explode(cells).alias("c")
+    own = [f"__carry{i}" for i in range(len(carry))]
+    lines = df.select(F.col(id_col).alias("__id"), F.col(line).alias("__line"), *[F.col(c).alias(o) for c, o in zip(carry, own)])
+    exploded = data_lines(lines, "__line").select(
+        "__id", *own, F.coalesce(F.get("__cut.cells", F.lit(0)).rlike(PLAIN), F.lit(False)).alias("plain"), F.explode(cells).alias("c")
     )
     table = F.broadcast(rule_table(df.sparkSession, rules))  # one row a rule, whatever the data
-    judged = exploded.select("__id", "plain", "c.col", "c.value").join(table, "col")
+    judged = exploded.select("__id", *own, "plain", "c.col", "c.value").join(table, "col")
     told = F.when(F.col("prefix").isNull(), F.col("value")).otherwise(F.get(F.filter(F.split("value", r"\|"), lambda x: x.startswith(F.col("prefix"))), F.lit(0)))
     ok = F.coalesce(F.rlike(told, F.col("pattern")), F.lit(False))
-    return judged.filter((F.col("plain") | ~F.col("plain_only")) & ~ok).select(F.col("__id").alias(id_col), "reason").distinct()
+    return judged.filter((F.col("plain") | ~F.col("plain_only")) & ~ok).select(F.col("__id").alias(id_col), "reason", *[F.col(o).alias(c) for c, o in zip(carry, own)]).distinct()
 
 
 def rejected_rows(df: DataFrame, id_col: str, line: str, rules: Sequence[Rule] = CONLLU_RULES, n_columns: int = len(CONLLU_COLUMNS)) -> DataFrame:

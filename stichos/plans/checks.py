@@ -76,8 +76,7 @@ def p3_clean(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_rejects(spark: SparkSession, d: str) -> DataFrame:
     """Reasons by file."""
-    rows = conllu(spark, d)
-    return parsing.reject_reasons(rows, "line_id", "raw").join(rows.select("line_id", "file_name"), "line_id").groupBy("file_name", "reason").agg(F.countDistinct("line_id").alias("n_lines"))
+    return parsing.reject_reasons(conllu(spark, d), "line_id", "raw", carry=["file_name"]).groupBy("file_name", "reason").agg(F.countDistinct("line_id").alias("n_lines"))
 
 
 FIELDS = ["book_no", "slug", "chapter", "verse", "line_no", "text"]
