@@ -10,12 +10,14 @@ from stichos import catalog as C
 from stichos.common import latest_rows, read_table, written
 from stichos.functions import text as X
 from stichos.operators import align, gates, render, segment
+from stichos.plans import pipelines
 from stichos.plans.corpus_sql import SQL  # noqa: F401
 from stichos.sources import files
 
 LINE = ["line_id", "slug", "chapter", "verse", "line_no", "text", "loaded_at"]
 VERSE = ["slug", "chapter", "verse"]
 ORDER = ["line_no", "line_id"]
+SAID = ["said", "called", "asked", "answered", "wrote", "saw", "heard", "knew"]
 
 
 def lines(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -112,7 +114,7 @@ def current_lines(spark, d):
 def fill_forward(spark, d):
     """Each line with the sentence comment it stands under."""
     w = Window.partitionBy("file_name").orderBy("line_no")
-    sid = F.when(F.col("line").startswith("# sent_id = "), F.substring("line", 13, 1000000))
+    sid = F.when(F.col("line").startswith("# sent_id = "), F.substring("line", 13, 2147483647))
     return current_lines(spark, d).select("file_name", "line_no", F.last(sid, ignorenulls=True).over(w).alias("sent_id"))
 
 
@@ -176,7 +178,7 @@ def first_seen(spark, d):
 
 def last_wins(spark, d):
     x = read_table(spark, d, "eng_brenton_lines", *LINE)
-    return x.groupBy("line_id").agg(F.max_by("text", "loaded_at").alias("text"), F.count("*").alias("n_deliveries"))
+    return latest_rows(x, ["line_id"]).select("line_id", "text").join(x.groupBy("line_id").agg(F.count("*").alias("n_deliveries")), "line_id")
 
 
 def quantifiers(spark, d):
@@ -202,8 +204,15 @@ def children_exists(spark, d):
     return c.select("sent_id", "local_id", F.col("own_subject").cast("int").alias("own_subject"), F.col("causal_mark").cast("int").alias("causal_mark"))
 
 
+def remap_rules(spark):
+    """The numbering of the English by the Greek one: rules as data, one row a stretch of verses."""
+    return spark.createDataFrame([("telamar", 1, 1, None), ("telamar", 2, None, -1)], "slug string, first int, last int, shift int")
+
+
 def bilingual(spark, d):
-    e = align.joined_verses(placed(spark, d, "eng_brenton_lines"), VERSE, ORDER, "text").withColumnRenamed("text", "english")
+    """Verses of the Greek with their English, after the English is renumbered."""
+    e = align.remap(placed(spark, d, "eng_brenton_lines"), remap_rules(spark), ["slug"], "verse")
+    e = align.joined_verses(e, VERSE, ORDER, "text").withColumnRenamed("text", "english")
     g = placed(spark, d, "grk_lines").select(*VERSE).distinct()
     return align.verse_left_join(g, e, VERSE, "english")
 
@@ -222,7 +231,10 @@ def line_align(spark, d):
 
 
 def snapshot_sides(spark, d, how):
-    cur, snap = (align.joined_verses(placed(spark, d, t), VERSE, ORDER, "text").withColumn("alnum", X.alnum_form(F.col("text"))) for t in ("eng_brenton_lines", "eng_brenton_snapshot"))
+    """full: verses of either side in the chapters that both have; left: all verses of the current lines."""
+    sides = [placed(spark, d, t) for t in ("eng_brenton_lines", "eng_brenton_snapshot")]
+    sides = gates.shared(*sides, ["slug", "chapter"]) if how == "full" else sides
+    cur, snap = (align.joined_verses(x, VERSE, ORDER, "text").withColumn("alnum", X.alnum_form(F.col("text"))) for x in sides)
     return gates.compare_sides(cur, snap, VERSE, "alnum", how)
 
 
@@ -249,7 +261,7 @@ def book_names(spark, d):
 def clause_heads_of_content_verbs(spark, d):
     """Semi join: the words below a verb of saying or thinking (by English gloss, as the lemmas are invented)."""
     t = segment.tokens(words(spark, d))
-    told = read_table(spark, d, "glossary", "lemma", "gloss").filter(F.lower(F.trim("gloss")).isin("said", "called", "asked", "answered", "wrote", "saw", "heard", "knew")).select("lemma").distinct()
+    told = read_table(spark, d, "glossary", "lemma", "gloss").filter(F.lower(F.trim("gloss")).isin(*SAID)).select("lemma").distinct()
     verbs = t.join(told, "lemma", "left_semi").select("sent_id", F.col("local_id").alias("head"))
     return t.join(verbs, ["sent_id", "head"], "left_semi").select("sent_id", "local_id", "udrel")
 
@@ -257,13 +269,8 @@ def clause_heads_of_content_verbs(spark, d):
 # Alignment and coverage.
 
 
-def remapped(spark, d):
-    rules = spark.createDataFrame([("telamar", 1, 1, None), ("telamar", 2, 999, -1)], "slug string, first int, last int, shift int")
-    return align.remap(placed(spark, d, "eng_brenton_lines").select("line_id", *VERSE), rules, ["slug"], "verse")
-
-
 def key_remap(spark, d):
-    return remapped(spark, d)
+    return align.remap(placed(spark, d, "eng_brenton_lines").select("line_id", *VERSE), remap_rules(spark), ["slug"], "verse")
 
 
 def first_line_placement(spark, d):
@@ -295,7 +302,8 @@ def coverage_report(spark, d):
     gaps = b.filter(~F.col("aligned")).groupBy("slug").agg(F.transform(F.array_sort(F.collect_list(F.struct("chapter", "verse", ref.alias("r")))), lambda x: x["r"]).alias("refs"))
     by_book = gaps.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("slug", "refs")))).alias("by_book"))
     fields = [F.col("a").alias("tf_verses"), F.col("b").alias("eng_aligned"), (F.col("a") - F.col("b")).alias("eng_mismatches_total"), F.col("by_book").alias("eng_mismatches_by_book")]
-    return counts.crossJoin(by_book).select(F.to_json(F.struct(*fields)).alias("report"))
+    both = counts.unionByName(by_book, True).agg(F.max("a").alias("a"), F.max("b").alias("b"), F.first("by_book", ignorenulls=True).alias("by_book"))  # of two rows
+    return both.select(F.to_json(F.struct(*fields)).alias("report"))
 
 
 def any_english(spark, d):
@@ -305,11 +313,8 @@ def any_english(spark, d):
 # The segmentation.
 
 
-def chain_of(spark, d, keep=False):
-    """Tokens and their chains; kept (written) where they are read more than once."""
-    t = segment.tokens(words(spark, d))
-    t = written(t, "tokens") if keep else t
-    return t, written(segment.chains(t), "chains") if keep else segment.chains(t)
+def facts(spark, d):
+    return segment.word_facts(segment.tokens(words(spark, d)))
 
 
 def ancestor_closure(spark, d):
@@ -317,24 +322,26 @@ def ancestor_closure(spark, d):
 
 
 def subtree_facts(spark, d):
-    s = segment.subtree_facts(*chain_of(spark, d))
-    return s.select("sent_id", "local_id", "n_sub", *[F.col(c).cast("int").alias(c) for c in ("any_finite", "any_propn", "nested_finite")])
+    return facts(spark, d).select("sent_id", "local_id", "n_sub", *[F.col(c).cast("int").alias(c) for c in ("any_finite", "any_propn", "nested_finite")])
 
 
 def nearest_clause_head(spark, d):
-    t, chain = chain_of(spark, d)
-    near = chain.filter("a_clause").groupBy("sent_id", "local_id").agg(F.min_by("anc", "depth").alias("clause"))
-    return t.join(near, ["sent_id", "local_id"], "left").select("sent_id", "local_id", F.coalesce("clause", "local_id").alias("clause"))
+    return facts(spark, d).select("sent_id", "local_id", "clause")
 
 
 def bind_rules(spark, d):
-    b = segment.bind_rules(*chain_of(spark, d, keep=True))
-    return b.select("sent_id", "local_id", "rule", F.col("bind").cast("int").alias("bind"))
+    return facts(spark, d).filter("rule is not null").select("sent_id", "local_id", "rule", F.col("bind").cast("int").alias("bind"))
 
 
 def unit_roots(spark, d):
-    t, chain = chain_of(spark, d, keep=True)
-    return t.join(segment.unit_roots(chain, segment.bind_rules(t, chain)), ["sent_id", "local_id"], "left").select("sent_id", "local_id", F.coalesce("unit", "local_id").alias("unit"))
+    return facts(spark, d).select("sent_id", "local_id", "unit")
+
+
+def bind_rules_said(spark, d):
+    """The rules with other verbs of content: the lemmas glossed as a verb of saying or knowing, a set that these tables have."""
+    told = read_table(spark, d, "glossary", "lemma", "gloss").filter(F.lower(F.trim("gloss")).isin(*SAID)).select("lemma").distinct().withColumn("content", F.lit(True))
+    t = segment.tokens(words(spark, d)).join(F.broadcast(told), "lemma", "left")  # a row a lemma of the glossary
+    return segment.word_facts(t, F.col("content")).filter("rule is not null").select("sent_id", "local_id", "rule", F.col("bind").cast("int").alias("bind"))
 
 
 def candidates(spark, d):
@@ -351,6 +358,12 @@ def sense_lines(spark, d):
     return segment.segment(words(spark, d), candidates(spark, d))
 
 
+def book_sense_lines(spark, d, book="TEL", chapter=None):
+    """One book, or one chapter of it; the filter is pushed into the scan. An unknown book is an error."""
+    pipelines.known_book(read_table(spark, d, "book"), book.upper())
+    return segment.segment(*[pipelines.select_place(x, book, chapter) for x in (words(spark, d), candidates(spark, d))])
+
+
 def sense_lines_text(spark, d):
     """Chapters as text files: a ref line and the lines of each verse."""
     s = segment.segment(words(spark, d), candidates(spark, d)).join(books(spark, d).select("book_code", "slug", "book_no"), "book_code")
@@ -372,15 +385,33 @@ def gate_roundtrip(spark, d):
 
 def gate_segment(spark, d):
     """Words of the sense lines of each verse, in line order, against the verse's own words."""
-    s = sense_lines(spark, d)
+    t = written(segment.tokens(words(spark, d)), "segment-tokens")
+    s = segment.segment(None, candidates(spark, d), t)
     a = s.groupBy("book_code", "chapter", "verse").agg(render.ordered_join(["line_no"], F.col("text"), " ").alias("t"))
-    t = segment.tokens(words(spark, d))
     b = t.groupBy("book_code", "chapter", "verse").agg(render.ordered_join(["pos", "sent_id", "local_id"], F.concat("form", "after_text"), "").alias("t"))
     plain = lambda x: x.select("book_code", "chapter", "verse", F.regexp_replace("t", r"\s+", "").alias("t"))
     rows = gates.compare_sides(plain(a), plain(b), ["book_code", "chapter", "verse"], "t")
     return gates.gate(rows, "segment", F.col("book_code"), F.col("left_value") != F.col("right_value"))
 
 
+def gate_sequence(spark, d):
+    """The words of the sense lines of each verse, by id and in line order, against the verse's own words in order."""
+    t = written(segment.tokens(words(spark, d)), "segment-tokens")
+    place = ["book_code", "chapter", "verse"]
+    s = segment.segment(None, candidates(spark, d), t, ids=True)
+    a = s.groupBy(*place).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "ids"))), lambda x: x["ids"])).alias("made"))
+    b = t.groupBy(*place).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sent_id", "local_id"))), lambda x: F.struct(x["sent_id"], x["local_id"])).alias("own"))
+    same = F.coalesce(F.col("made").cast("array<struct<a:string,b:int>>") == F.col("own").cast("array<struct<a:string,b:int>>"), F.lit(False))
+    return gates.gate(a.join(b, place, "full"), "sequence", F.col("book_code"), ~same)
+
+
+def gate_cross_sentence(spark, d):
+    """Edges of the treebank files whose ends name different sentences: governors are looked up in the block of lines, sentences told by their comments."""
+    t = files.conllu_tokens(current_lines(spark, d), "file_name").select("file_name", "sent_no", "sent_id", "local_id", "head")
+    g = t.select("file_name", "sent_no", F.col("local_id").alias("head"), F.col("sent_id").alias("g_sent")).dropDuplicates(["file_name", "sent_no", "head"])
+    return gates.gate(t.filter("head <> 0").join(g, ["file_name", "sent_no", "head"]), "cross_sentence", F.col("file_name"), F.col("sent_id") != F.col("g_sent"))
+
+
 def gate_snapshot(spark, d):
     return gates.gate(snapshot_sides(spark, d, "full"), "snapshot", F.col("slug"), F.col("left_value") != F.col("right_value"))
 
@@ -427,8 +458,8 @@ _ALL = (
     level_counts, section_rollup, verse_text, verse_forms, first_seen, last_wins, quantifiers,
     governor_inner, governor_left, children_exists, layer_left_join, line_align, snapshot_full_outer, missing_anti, cross_verse_edges, book_names, clause_heads_of_content_verbs,
     key_remap, first_line_placement, coverage_by_book, refs_missing, coverage_json, coverage_report, any_english,
-    ancestor_closure, subtree_facts, nearest_clause_head, bind_rules, unit_roots, phrase_breaks, sense_lines, sense_lines_text,
-    gate_roundtrip, gate_segment, gate_snapshot, gate_source, gate_edges, first_mismatches,
+    ancestor_closure, subtree_facts, nearest_clause_head, bind_rules, bind_rules_said, unit_roots, phrase_breaks, sense_lines, book_sense_lines, sense_lines_text,
+    gate_roundtrip, gate_segment, gate_sequence, gate_cross_sentence, gate_snapshot, gate_source, gate_edges, first_mismatches,
     chapter_text, chapter_html, book_html, layer_search,
 )
 QUERIES = {f.__name__: f for f in _ALL}

@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from stichos import catalog as C
+# Fixed values, stated apart from those of the operators: relations, parts of speech and lemmas of the rules.
+STAND_RELS = ["root", "conj", "parataxis"]
+BIND_RELS = ["acl", "acl:relcl", "ccomp", "xcomp", "csubj", "csubj:pass"]
+ADVERBIAL_RELS = ["advcl", "advcl:cmp", "advcl:relcl"]
+SUBJECT_RELS = ["nsubj", "nsubj:pass", "csubj", "csubj:pass"]
+NESTED_RELS = ["advcl", "advcl:cmp", "advcl:relcl", "ccomp", "acl", "acl:relcl", "conj", "csubj", "csubj:pass", "parataxis"]
+FUNCTION_UPOS = ["ADP", "CCONJ", "SCONJ", "DET", "PART", "AUX", "PUNCT"]
+CAUSAL_MARKS = ["ὅτι", "διότι", "ἐπεί", "ἐπειδή", "καθότι"]
+BACKWARD_LEMMAS = ["δέ", "γάρ", "οὖν", "τε", "μέν", "ἄρα", "γε", "δή", "τοίνυν"]
+CONTENT_VERBS = (
+    "λέγω εἶπον λαλέω φημί ἀποκρίνομαι βοάω κράζω ἀναγγέλλω ἀπαγγέλλω διηγέομαι ὁμολογέω κηρύσσω μαρτυρέω γράφω ἐντέλλομαι κελεύω προστάσσω ἐρωτάω "
+    "οἶδα γινώσκω ἐπίσταμαι νοέω συνίημι λογίζομαι νομίζω ἡγέομαι δοκέω πιστεύω μιμνήσκομαι μνημονεύω ἐνθυμέομαι κρίνω ἐλπίζω βούλομαι θέλω "
+    "ὁράω εἶδον βλέπω ἀκούω θεωρέω αἰσθάνομαι χαίρω θαυμάζω φοβέομαι λυπέομαι ἀγαλλιάομαι δοξάζω"
+).split()
 
 
 def _in(values: list[str]) -> str:
@@ -11,7 +24,7 @@ def _in(values: list[str]) -> str:
 
 _GREEK = r"regexp_replace(lower(coalesce({}, '')), '[^\x{{0370}}-\x{{03ff}}\x{{1f00}}-\x{{1fff}}]', '', 'g')"
 _FIN = "(contains({0}.morph, 'VerbForm=Fin') or ({0}.upos in ('VERB', 'AUX') and not contains({0}.morph, 'VerbForm=Part') and not contains({0}.morph, 'VerbForm=Inf')))"
-_CLAUSE = "({0}.head = 0 or {0}.udrel in " + _in([*C.STAND_RELS, *C.BIND_RELS, *C.ADVERBIAL_RELS]) + ")"
+_CLAUSE = "({0}.head = 0 or {0}.udrel in " + _in([*STAND_RELS, *BIND_RELS, *ADVERBIAL_RELS]) + ")"
 _AGREE = "(coalesce(list_filter(string_split({0}.morph, '|'), lambda x: starts_with(x, 'Person='))[-1], '') || '/' || coalesce(list_filter(string_split({0}.morph, '|'), lambda x: starts_with(x, 'Number='))[-1], ''))"
 _CUT = r"(?:p|m|q[0-9]*|li[0-9]*|pi[0-9]*|s[0-9]*|nb|b|cls|qm[0-9]*|qa|pc|pmo|pmc|pmr|cl|d)"
 _MARKS = "(sc|nd|wj|qt|tl|bd|it|em|bk|pn|qs|qac|add)"
@@ -32,11 +45,15 @@ _CTE: dict[str, str] = {
     "gp": "select * from g where slug is not null and chapter is not null and verse is not null",
     "ep": "select * from e where slug is not null and chapter is not null and verse is not null",
     "sp": "select * from s where slug is not null and chapter is not null and verse is not null",
+    "er": "select * replace (case when slug = 'telamar' and verse >= 2 then verse - 1 else verse end as verse) from ep where not (slug = 'telamar' and verse = 1)",
+    "erv": "select slug, chapter, verse, string_agg(trim(text), ' ' order by line_no, line_id) text from er where trim(coalesce(text, '')) <> '' group by all",
     "ev": "select slug, chapter, verse, string_agg(trim(text), ' ' order by line_no, line_id) text from ep where trim(coalesce(text, '')) <> '' group by all",
     "sv": "select slug, chapter, verse, string_agg(trim(text), ' ' order by line_no, line_id) text from sp where trim(coalesce(text, '')) <> '' group by all",
     "gv": "select distinct slug, chapter, verse from gp",
-    "bi": "select gv.*, coalesce(ev.text, '') english, case when coalesce(ev.text, '') <> '' then 1 else 0 end aligned from gv left join ev using (slug, chapter, verse)",
+    "bi": "select gv.*, coalesce(erv.text, '') english, case when coalesce(erv.text, '') <> '' then 1 else 0 end aligned from gv left join erv using (slug, chapter, verse)",
+    "inboth": "select distinct slug, chapter from ep intersect select distinct slug, chapter from sp",
     "sides": "select slug, chapter, verse, coalesce(regexp_replace(lower(ev.text), '[^a-z0-9]', '', 'g'), '') l, coalesce(regexp_replace(lower(sv.text), '[^a-z0-9]', '', 'g'), '') r, ev.text is not null has_l from ev full join sv using (slug, chapter, verse)",
+    "sides2": "select sides.* from sides join inboth using (slug, chapter)",
     "gs": "select * from (select *, row_number() over v - 1 slot, max(case when trim(coalesce(text, '')) <> '' then 1 else 0 end) over (partition by slug, chapter, verse order by line_no desc, line_id desc) live from gp window v as (partition by slug, chapter, verse order by line_no, line_id)) where live = 1",
     "es": "select * from (select *, row_number() over v - 1 slot, max(case when trim(coalesce(text, '')) <> '' then 1 else 0 end) over (partition by slug, chapter, verse order by line_no desc, line_id desc) live from ep window v as (partition by slug, chapter, verse order by line_no, line_id)) where live = 1",
     "pairs": "select slug, chapter, verse, slot, coalesce(gs.text, '') left_text, coalesce(es.text, '') right_text from gs left join es using (slug, chapter, verse, slot)",
@@ -45,6 +62,9 @@ _CTE: dict[str, str] = {
         || {_GM.format(_ESC.format("left_text"))} || '</span><span class="en">' || {_EM.format(_ESC.format("right_text"))} || '</span></span>', chr(10) order by slot) || chr(10) || '  </div>' block from pairs group by slug, chapter, verse) group by slug, chapter""",
     "cur": f"select file_name, line_no, regexp_replace(raw, '\\r$', '') line from {_valid('conllu_raw', 'file_name, line_no', 'loaded_at desc, raw desc, line_id desc')}",
     "tb0": "select *, sum(case when trim(line) = '' then 1 else 0 end) over (partition by file_name order by line_no) sent_no, string_split(line, chr(9)) f from cur",
+    "tb1": """select * from (select file_name, line_no, sent_no, line, f, try_cast(f[1] as integer) local_id, case when regexp_full_match(trim(f[7]), '[+-]?[0-9]+') then cast(trim(f[7]) as integer) else 0 end head,
+      coalesce(last_value(case when starts_with(line, '# sent_id') then regexp_extract(line, '^# sent_id\\s*=\\s*(.*)$', 1) end ignore nulls) over (partition by file_name, sent_no order by line_no), file_name || '#' || sent_no) sid from tb0)
+      where trim(line) <> '' and not starts_with(line, '#') and len(f) >= 10 and regexp_full_match(f[1], '[0-9]+')""",
     "tb": """select file_name, line_no, cast(sent_no as integer) sent_no, cast(f[1] as integer) local_id, nfc_normalize(f[2]) form, nfc_normalize(case when f[3] = '_' then f[2] else f[3] end) lemma, case when f[4] = '_' then 'X' else f[4] end upos, f[5] xpos,
       case when f[6] = '_' then '' else f[6] end morph, case when regexp_full_match(trim(f[7]), '[+-]?[0-9]+') then cast(trim(f[7]) as integer) else 0 end head, f[8] udrel, case when contains(f[10], 'SpaceAfter=No') then '' else ' ' end after_text, case when regexp_full_match(trim(f[7]), '[+-]?0*[1-9][0-9]*') then 0 else 1 end is_root,
       regexp_extract(f[10], 'Ref=([^|\\s]+)', 1) ref from tb0 where trim(line) <> '' and not starts_with(line, '#') and len(f) >= 10 and regexp_full_match(f[1], '[0-9]+')""",
@@ -59,13 +79,13 @@ _CTE: dict[str, str] = {
     "up": "select t.sent_id, t.local_id, t.book_code, t.chapter, case when ring.local_id is null and t.head <> 0 then t.head end up from t left join ring using (sent_id, local_id)",
     "cl": """select sent_id, local_id, local_id anc, 0 depth, book_code wb, chapter wc, true in_ch, true same from up
       union all select c.sent_id, c.local_id, p.local_id, depth + 1, wb, wc, in_ch and p.chapter = wc and p.book_code = wb, p.chapter = wc and p.book_code = wb from cl c join up a on a.sent_id = c.sent_id and a.local_id = c.anc join up p on p.sent_id = a.sent_id and p.local_id = a.up""",
-    "sub": f"select cl.sent_id, cl.anc local_id, count(*) n_sub, bool_or({_FIN.format('t')}) any_finite, bool_or(t.upos = 'PROPN') any_propn, bool_or(cl.anc <> cl.local_id and t.udrel in {_in(C.NESTED_RELS)} and {_FIN.format('t')}) nested_finite from cl join t using (sent_id, local_id) where in_ch group by 1, 2",
-    "kid": f"select k.sent_id, k.head local_id, bool_or(k.udrel in {_in(C.SUBJECT_RELS)}) own_subject, bool_or(k.udrel = 'mark' and k.lemma in {_in(C.CAUSAL_MARKS)}) causal_mark from t k join t p on p.sent_id = k.sent_id and p.local_id = k.head and p.chapter = k.chapter and p.book_code = k.book_code where k.head <> 0 group by all",
+    "sub": f"select cl.sent_id, cl.anc local_id, count(*) n_sub, bool_or({_FIN.format('t')}) any_finite, bool_or(t.upos = 'PROPN') any_propn, bool_or(cl.anc <> cl.local_id and t.udrel in {_in(NESTED_RELS)} and {_FIN.format('t')}) nested_finite from cl join t using (sent_id, local_id) where in_ch group by 1, 2",
+    "kid": f"select k.sent_id, k.head local_id, bool_or(k.udrel in {_in(SUBJECT_RELS)}) own_subject, bool_or(k.udrel = 'mark' and k.lemma in {_in(CAUSAL_MARKS)}) causal_mark from t k join t p on p.sent_id = k.sent_id and p.local_id = k.head and p.chapter = k.chapter and p.book_code = k.book_code where k.head <> 0 group by all",
     "b1": f"""select gov.sent_id, gov.local_id, gov.book_code, gov.chapter, gov.udrel, coalesce(any_finite, false) any_finite, coalesce(own_subject, false) own_subject, g_there, agree, g_agree,
       case when head = 0 then 'root' when udrel = 'parataxis' then 'parataxis' when udrel = 'conj' then 'conj'
-        when udrel in {_in(C.ADVERBIAL_RELS)} and not coalesce(o < g_o, false) and coalesce(causal_mark, false) and not coalesce(g_lemma in {_in(C.CONTENT_VERBS)}, false) and n_sub <= 8 and not any_propn and not nested_finite then 'causal_ground'
-        when udrel in {_in(C.ADVERBIAL_RELS)} and {_FIN.format('gov')} then case when coalesce(o < g_o, false) then 'finite_before' else 'finite_after' end when udrel in {_in(C.ADVERBIAL_RELS)} then 'non_finite'
-        when udrel in ('ccomp', 'csubj', 'csubj:pass') and coalesce(g_lemma in {_in(C.CONTENT_VERBS)}, false) then 'quote' when udrel in {_in(C.BIND_RELS)} then 'bound_relation' else 'standing' end as rule
+        when udrel in {_in(ADVERBIAL_RELS)} and not coalesce(o < g_o, false) and coalesce(causal_mark, false) and not coalesce(g_lemma in {_in(CONTENT_VERBS)}, false) and n_sub <= 8 and not any_propn and not nested_finite then 'causal_ground'
+        when udrel in {_in(ADVERBIAL_RELS)} and {_FIN.format('gov')} then case when coalesce(o < g_o, false) then 'finite_before' else 'finite_after' end when udrel in {_in(ADVERBIAL_RELS)} then 'non_finite'
+        when udrel in ('ccomp', 'csubj', 'csubj:pass') and coalesce(g_lemma in {_in(CONTENT_VERBS)}, false) then 'quote' when udrel in {_in(BIND_RELS)} then 'bound_relation' else 'standing' end as rule
       from gov left join sub using (sent_id, local_id) left join kid using (sent_id, local_id) where {_CLAUSE.format('gov')}""",
     "b1b": "select *, rule in ('causal_ground', 'finite_before', 'non_finite', 'bound_relation') bind1 from b1",
     "tops": f"select cl.sent_id, cl.local_id, arg_min(cl.anc, depth) t_id, arg_min(t.udrel, depth) t_udrel, arg_min({_CLAUSE.format('t')}, depth) t_clause from cl join t on t.sent_id = cl.sent_id and t.local_id = cl.anc where depth >= 1 and t.udrel <> 'conj' group by 1, 2",
@@ -91,7 +111,7 @@ _CTE: dict[str, str] = {
     "cut4": "select *, last_value(case when upos <> 'PUNCT' or rn = 1 then lab end ignore nulls) over (partition by book_code, chapter, verse order by pos rows between unbounded preceding and current row) label from cut3",
     "cut5": "select *, case when lag(label) over (partition by book_code, chapter, verse order by pos) is not distinct from label then 0 else 1 end fresh from cut4",
     "cut6": "select *, sum(fresh) over (partition by book_code, chapter, verse order by pos) run from cut5",
-    "runs": f"select book_code, chapter, verse, run, bool_or(upos not in {_in(C.FUNCTION_UPOS)}) content, bool_or(lemma in {_in(C.BACKWARD_LEMMAS)}) backward from cut6 group by all",
+    "runs": f"select book_code, chapter, verse, run, bool_or(upos not in {_in(FUNCTION_UPOS)}) content, bool_or(lemma in {_in(BACKWARD_LEMMAS)}) backward from cut6 group by all",
     "runs2": "select *, sum(content::int) over (partition by book_code, chapter, verse order by run) c, sum(content::int) over (partition by book_code, chapter, verse) total, max(verse) over (partition by book_code, chapter) last_verse from runs",
     "grp": "select *, case when content or (backward and c >= 1) then c when c < total then c + 1 when verse = last_verse and c >= 1 then c else c + 1 end grp from runs2",
     "sl": """select book_code, chapter, verse, row_number() over (partition by book_code, chapter order by verse, grp) line_no, chapter || ':' || verse as ref, count(*) n_words, min(pos) first_pos, trim(string_agg(form || after_text, '' order by pos)) as text
@@ -132,7 +152,7 @@ _SELECTS = {
     "ref_format": "select distinct book_code || '_' || chapter || '.' || verse as ref, case when chapter < 10 then '0' else '' end || chapter || '-' || case when verse < 10 then '0' else '' end || verse padded from verse",
     "ref_parse": "select distinct ref, case when p then regexp_extract(ref, '^([A-Z0-9]+)_', 1) end book, case when p then cast(regexp_extract(ref, '_(\\d+)\\.', 1) as integer) end chapter, case when p then cast(regexp_extract(ref, '\\.(\\d+)$', 1) as integer) end verse from (select ref, regexp_full_match(ref, '[A-Z0-9]+_\\d+\\.\\d+') p from word)",
     "skipped_refs": "select file_name, count(*) n_rows, count(*) filter (not regexp_full_match(regexp_extract(string_split(raw, chr(9))[-1], 'Ref=([^|\\s]+)', 1), '[A-Z0-9]+_\\d+\\.\\d+')) n_skipped from conllu_raw where not starts_with(raw, '#') and contains(raw, chr(9)) group by all",
-    "safe_cast": "select line_id, case when regexp_full_match(string_split(raw, chr(9))[1], '[0-9]{1,9}') then cast(string_split(raw, chr(9))[1] as integer) end number from conllu_raw where not starts_with(raw, '#')",
+    "safe_cast": "select line_id, case when regexp_full_match(string_split(raw, chr(9))[1], '[0-9]+') then try_cast(string_split(raw, chr(9))[1] as integer) end number from conllu_raw where not starts_with(raw, '#')",
     "morph_features": f"select sent_id, local_id, string_split({_AGREE.format('w')}, '/')[1] person, string_split({_AGREE.format('w')}, '/')[2] number, {_FIN.format('w')}::int finite from (select sent_id, local_id, coalesce(upos, '') upos, coalesce(morph, '') morph from {_valid('word', 'sent_id, local_id')}) w",
     "strip_markup": f"select line_id, {_PLAIN.format('text')} plain from e",
     "line_slots": "select line_id, slug, chapter, verse, cast(slot as integer) slot, coalesce(text, '') as text from es",
@@ -148,22 +168,24 @@ _SELECTS = {
     "verse_forms": "select * from vf",
     "first_seen": "select slug, chapter, verse, min(line_id) first_line, count(*) n_lines from gp group by all",
     "last_wins": "select line_id, arg_max_null(text, loaded_at) as text, count(*) n_deliveries from eng_brenton_lines group by all",
-    "quantifiers": f"select sent_id, bool_or({_FIN.format('t')})::int any_finite, bool_and(upos in {_in(C.FUNCTION_UPOS)})::int all_function, bool_or(lemma in {_in(C.BACKWARD_LEMMAS)})::int any_backward from t group by 1",
+    "quantifiers": f"select sent_id, bool_or({_FIN.format('t')})::int any_finite, bool_and(upos in {_in(FUNCTION_UPOS)})::int all_function, bool_or(lemma in {_in(BACKWARD_LEMMAS)})::int any_backward from t group by 1",
     "governor_inner": "select sent_id, local_id, head, g_lemma, (o < g_o)::int precedes from gov where g_there",
-    "governor_left": f"select sent_id, local_id, coalesce(g_lemma in {_in(C.CONTENT_VERBS)}, false)::int content_governor, coalesce(g_lemma, '') g_lemma from gov",
+    "governor_left": f"select sent_id, local_id, coalesce(g_lemma in {_in(CONTENT_VERBS)}, false)::int content_governor, coalesce(g_lemma, '') g_lemma from gov",
     "children_exists": "select sent_id, local_id, own_subject::int own_subject, causal_mark::int causal_mark from kid",
     "layer_left_join": "select slug, chapter, verse, english, aligned from bi",
     "line_align": "select slug, chapter, verse, cast(slot as integer) slot, left_text, right_text from pairs",
-    "snapshot_full_outer": "select slug, chapter, verse, l left_value, r right_value from sides where l <> r",
+    "snapshot_full_outer": "select slug, chapter, verse, l left_value, r right_value from sides2 where l <> r",
     "missing_anti": "select * from gv where not exists (select 1 from ep where ep.slug = gv.slug and ep.chapter = gv.chapter and ep.verse = gv.verse)",
     "cross_verse_edges": "select book_code, count(*) edges, count(*) filter (chapter <> g_chapter or verse <> g_verse) cross_verse from gov where g_there group by 1",
     "book_names": "select w.book_code, slug, book_name, book_no from (select distinct book_code from word) w left join book using (book_code)",
     "clause_heads_of_content_verbs": "select sent_id, local_id, udrel from t where exists (select 1 from t p where p.sent_id = t.sent_id and p.local_id = t.head and p.lemma in (select lemma from glossary where lower(trim(gloss)) in ('said', 'called', 'asked', 'answered', 'wrote', 'saw', 'heard', 'knew')))",
-    "key_remap": "select line_id, slug, chapter, case when slug = 'telamar' and verse between 2 and 999 then verse - 1 else verse end verse from ep where not (slug = 'telamar' and verse = 1)",
+    "key_remap": "select line_id, slug, chapter, case when slug = 'telamar' and verse >= 2 then verse - 1 else verse end verse from ep where not (slug = 'telamar' and verse = 1)",
     "first_line_placement": "select line_id, case when row_number() over (partition by gp.slug, gp.chapter, gp.verse order by line_no, line_id) = 1 then english else '' end english from gp join bi using (slug, chapter, verse)",
     "coverage_by_book": "select slug, count(*) n_verses, cast(sum(aligned) as bigint) n_aligned, 100.0 * cast(sum(aligned) as double) / count(*) percent from bi group by 1",
     "refs_missing": "select slug, count(*) n_missing, string_agg(chapter || ':' || verse, ',' order by chapter, verse) filter (rn <= 12) first_refs from (select *, row_number() over (partition by slug order by chapter, verse) rn from bi where aligned = 0) group by 1",
     "coverage_json": """select '{"tf_verses":' || count(*) || ',"eng_aligned":' || sum(aligned) || ',"eng_mismatches_total":' || (count(*) - sum(aligned)) || '}' report from bi""",
+    "coverage_report": """select '{"tf_verses":' || (select count(*) from bi) || ',"eng_aligned":' || (select sum(aligned) from bi) || ',"eng_mismatches_total":' || (select count(*) from bi where aligned = 0) || ',"eng_mismatches_by_book":{'
+      || string_agg('"' || slug || '":[' || refs || ']', ',' order by slug) || '}}' report from (select slug, string_agg('"' || chapter || ':' || verse || '"', ',' order by chapter, verse) refs from bi where aligned = 0 group by slug)""",
     "any_english": "select slug, max(aligned) has_english from bi group by 1",
     "ancestor_closure": "select sent_id, local_id, anc, depth from cl",
     "subtree_facts": "select sent_id, local_id, n_sub, any_finite::int any_finite, any_propn::int any_propn, nested_finite::int nested_finite from sub",
@@ -176,13 +198,17 @@ _SELECTS = {
       select book_no, slug, chapter, verse, min(ref) || chr(10) || string_agg(text, chr(10) order by line_no) || chr(10) b from sl join book using (book_code) group by book_no, slug, chapter, verse) group by book_no, slug, chapter""",
     "gate_roundtrip": _gate("roundtrip", "(select a.book_code, a.f, coalesce(vf.forms, '') g from (select book_code, chapter, verse, string_agg(form, ' ' order by pos) f from tokens where verse is not null group by all) a left join vf using (book_code, chapter, verse))", "book_code", "f <> g"),
     "gate_segment": _gate("segment", "(select book_code, coalesce(regexp_replace(a.x, '\\s+', '', 'g'), '') x, coalesce(regexp_replace(b.x, '\\s+', '', 'g'), '') y from (select book_code, chapter, verse, string_agg(text, ' ' order by line_no) x from sl group by all) a full join (select book_code, chapter, verse, string_agg(form || after_text, '' order by pos) x from t group by all) b using (book_code, chapter, verse))", "book_code", "x <> y"),
-    "gate_snapshot": _gate("snapshot", "sides", "slug", "l <> r"),
+    "gate_sequence": _gate("sequence", "(select book_code, a.ids is not distinct from b.ids same from (select book_code, chapter, verse, list((sent_id, local_id) order by grp, pos) ids from cut6 join grp using (book_code, chapter, verse, run) group by all) a full join (select book_code, chapter, verse, list((sent_id, local_id) order by pos, sent_id, local_id) ids from t group by all) b using (book_code, chapter, verse))", "book_code", "not same"),
+    "gate_cross_sentence": _gate("cross_sentence", "(select tb1.file_name, tb1.sid, g.sid gsid from tb1 join (select distinct on (file_name, sent_no, local_id) file_name, sent_no, local_id, sid from tb1) g on g.file_name = tb1.file_name and g.sent_no = tb1.sent_no and g.local_id = tb1.head where tb1.head <> 0)", "file_name", "sid <> gsid"),
+    "gate_snapshot": _gate("snapshot", "sides2", "slug", "l <> r"),
     "gate_source": _gate("source", "(select * from sides where has_l)", "slug", "l <> r"),
     "gate_edges": _gate("edges", "(select * from gov where head <> 0)", "book_code", "not g_there"),
-    "first_mismatches": "select slug, chapter, verse, l left_value, r right_value from sides where l <> r order by slug, chapter, verse limit 25",
+    "first_mismatches": "select slug, chapter, verse, l left_value, r right_value from sides2 where l <> r order by slug, chapter, verse limit 25",
     "chapter_text": "select slug, chapter, string_agg(b, chr(10) order by verse) body from (select slug, chapter, verse, chapter || ':' || verse || chr(10) || string_agg(coalesce(text, ''), chr(10) order by slot) || chr(10) b from es group by slug, chapter, verse) group by slug, chapter",
     "chapter_html": "select * from html",
     "book_html": "select slug, count(*) n_chapters, string_agg(html, chr(10) order by chapter) as html from html group by all",
     "layer_search": "select slug, chapter, verse, cast(slot as integer) slot from pairs where contains(left_text, 'τῆς') or contains(lower(right_text), 'mountain')",
 }
 SQL = {name: _sql(select) for name, select in _SELECTS.items()}
+SQL["bind_rules_said"] = SQL["bind_rules"].replace(_in(CONTENT_VERBS), "(select lemma from glossary where lower(trim(gloss)) in ('said', 'called', 'asked', 'answered', 'wrote', 'saw', 'heard', 'knew'))")
+SQL["book_sense_lines"] = _sql("select * from sl where book_code = 'TEL'")

@@ -149,6 +149,32 @@ def test_bind_rules(spark, rows, node, rule):
     assert got[node] == rule
 
 
+@pytest.mark.parametrize("seed", [1])
+def test_facts_of_buckets_are_those_of_joins(spark, seed):
+    """Random sentences over several chapters, with cycles, missing heads, verbs of content and causal marks."""
+    import random
+
+    r = random.Random(seed)
+    rels = ["root", "conj", "conj", "conj", "parataxis", "acl", "ccomp", "csubj", "xcomp", "advcl", "advcl", "nsubj", "mark", "obj", ""]
+    rows = []
+    for k in range(120):
+        n, chapter, verse, pos = r.randint(1, 25), r.randint(1, 3), 1, 0
+        for i in range(1, n + 1):
+            step = r.random()
+            chapter, verse, pos = (chapter + 1, 1, 1) if step < 0.05 else (chapter, verse + 1, 1) if step < 0.12 else (chapter, verse, pos + 1)
+            head = r.choice([0, None, n + 3]) if r.random() < 0.12 else r.randint(1, n)
+            rel = r.choice(rels)
+            lemma = r.choice(["ὅτι", "a"]) if rel == "mark" else r.choice(["λέγω", "a", "b", None])
+            rows.append((f"s{k}", i, head, r.choice("AB"), chapter, verse, k * 100 + pos, "f", lemma, r.choice(["VERB", "NOUN", "PROPN", "AUX", None]), r.choice([FIN, PART, "VerbForm=Fin|Person=1", "", None]), rel, " ", None, "x"))
+    t = segment.tokens(spark.createDataFrame(rows, WORDS))
+    fast, slow = segment.word_facts(t, rows_per_bucket=300), segment.word_facts(t, max_rows=0)
+    names = ["sent_id", "local_id", "rule", "bind", "unit", "clause", "n_sub", "any_finite", "any_propn", "nested_finite"]
+    a, b = (sorted(map(tuple, x.select(*names).collect())) for x in (fast, slow))
+    assert a == b and {x[2] for x in a} >= {"quote", "causal_ground", "conj_inherits", "conj_stands", "conj_own_subject", "conj_non_finite", "finite_before", "finite_after", "non_finite"}
+    said = segment.word_facts(t, content=F.col("lemma") == "b")
+    assert said.filter("rule = 'quote'").count() and said.select(*names).exceptAll(fast.select(*names)).count()
+
+
 def text_of(spark, rows, candidates=None):
     c = spark.createDataFrame(candidates, "cand_no long, book_code string, chapter int, verse int, greek_left string") if candidates else None
     return [(r.verse, r.text) for r in segment.segment(sentence(spark, rows), c).orderBy("line_no").collect()]
@@ -194,3 +220,65 @@ def test_console_text(spark):
     df = spark.createDataFrame([("GEN", 1, 2, 1, "c"), ("GEN", 1, 1, 2, "b"), ("GEN", 1, 1, 1, "a"), ("GEN", 1, 10, 1, None)], "book string, chapter int, verse int, line_no int, text string")
     got = render.console_text(df, ["book", "chapter"], "verse", ["line_no"], F.concat(F.lit("=== "), "book", F.lit(" "), F.col("chapter").cast("string"), F.lit(" ===")), F.concat(F.col("chapter").cast("string"), F.lit(":"), F.col("verse").cast("string")), "text").first()
     assert got.body == "=== GEN 1 ===\n\n1:1\n  a\n  b\n\n1:2\n  c\n\n1:10\n  \n"
+
+
+def test_files_to_files(spark, tmp_path):
+    """Treebank and translation files to the token table, text files and HTML; one book, one chapter, one layer."""
+    from stichos.plans import pipelines
+
+    def words(book, chapter, verse, *forms):
+        return "\n".join(f"{i}\t{f}\t_\tNOUN\t_\t_\t{0 if i == 1 else 1}\t{'root' if i == 1 else 'obj'}\t_\tRef={book}_{chapter}.{verse}" for i, f in enumerate(forms, 1)) + "\n\n"
+
+    (tmp_path / "ud").mkdir()
+    (tmp_path / "ud" / "a.conllu").write_text("# sent_id = 1\n" + words("AAA", 1, 1, "α", "β") + "# sent_id = 2\n" + words("AAA", 1, 2, "γ") + "# sent_id = 3\n" + words("AAA", 10, 1, "δ"), encoding="utf-8")
+    (tmp_path / "ud" / "b.conllu").write_text("# sent_id = 4\n" + words("BBB", 1, 1, "ε") + words("ZZZ", 1, 1, "ζ"), encoding="utf-8")
+    (tmp_path / "usfm").mkdir()
+    (tmp_path / "usfm" / "aa.usfm").write_text("\\id AAA\n\\c 1\n\\p\n\\v 2 One \\add two\\add*.\n\\v 3 Three\n\\c 10\n\\v 1 Ten\n", encoding="utf-8")
+    books = spark.createDataFrame([(1, "AAA", "aa", "Alpha"), (2, "BBB", "bb", "Beta")], "book_no int, book_code string, slug string, book_name string")
+    table, out, html = (str(tmp_path / k) for k in ("tokens", "out", "html"))
+    pipelines.treebank(spark, f"{tmp_path}/ud/*.conllu", books, table)
+    got = spark.read.parquet(table)
+    assert got.count() == 5 and {r.book_name for r in got.collect()} == {"Alpha", "Beta"} and set(got.columns) == set(segment.C.TOKENS.names)
+    rules = spark.createDataFrame([("aa", 1, 2, None, -1)], "slug string, chapter int, first int, last int, shift int")
+    cover = {r.slug: (r.n_verses, r.n_aligned) for r in pipelines.content(spark, table, f"{tmp_path}/usfm/*.usfm", books, out, rules=rules).collect()}
+    assert cover == {"aa": (3, 3), "bb": (1, 0)}
+    assert (tmp_path / "out/grk/01-aa/aa-01.txt").read_text(encoding="utf-8") == "1:1\nα β\n\n1:2\nγ\n"
+    assert (tmp_path / "out/eng/01-aa/aa-01.txt").read_text(encoding="utf-8") == "1:1\nOne two.\n\n1:2\nThree\n"
+    assert (tmp_path / "out/eng/02-bb/bb-01.txt").read_text(encoding="utf-8") == "1:1\n\n"
+    assert pipelines.books_html(spark, out, html) == 2
+    page = (tmp_path / "html/aa.html").read_text(encoding="utf-8")
+    assert page.index('id="ch-1"') < page.index('id="ch-10"') and '<span class="grk">γ</span><span class="en">Three</span>' in page
+    assert pipelines.books_html(spark, out, str(tmp_path / "one"), slug="bb") == 1
+    part = str(tmp_path / "part")
+    pipelines.content(spark, table, None, books, part, book="aaa", chapter=10, layers=("grk",))
+    assert sorted(str(p.relative_to(part)) for p in (tmp_path / "part").rglob("*.txt")) == ["grk/01-aa/aa-10.txt"]
+    plan = pipelines.select_place(spark.read.parquet(table), "AAA", 1)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(book_code" in plan and "PushedFilters: [IsNotNull(chapter)" in plan
+    with pytest.raises(ValueError):
+        pipelines.content(spark, table, None, books, part, book="ccc")
+    with pytest.raises(ValueError):
+        pipelines.books_html(spark, out, html, slug="cc")
+
+
+def test_lines_are_numbered_across_blocks(spark, tmp_path):
+    text = "".join(f"line {k}\n" if k % 7 else "\r\n" for k in range(3000))
+    (tmp_path / "a.txt").write_bytes(text.encode())
+    (tmp_path / "b.txt").write_bytes(b"x\ny")
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = sorted((r.path.rpartition("/")[2], r.line_no, r.line) for r in files.file_lines(spark, f"{tmp_path}/*.txt").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert got == sorted([("a.txt", k + 1, line) for k, line in enumerate(text.replace("\r", "").split("\n")[:-1])] + [("b.txt", 1, "x"), ("b.txt", 2, "y")])
+
+
+def test_stages_are_dropped_at_the_end(spark):
+    import os
+
+    from stichos import common
+
+    with common.stages(spark):
+        path = common.written(spark.range(2).toDF("n"), "test").inputFiles()[0].rpartition("/")[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
