@@ -161,6 +161,16 @@ SQL = {
       pairs as (select sent_id, local_id, cast(a.above as integer) above from t, unnest(string_split(path, '/')) a(above)),
       below as (select sent_id, above local_id, count(*) - 1 n_below, string_agg(local_id, ',' order by local_id) filter (local_id <> above) descendants from pairs group by 1, 2)
       select t.*, n_below, coalesce(descendants, '') descendants from t join below using (sent_id, local_id)""",
+    "p2_paths": f"""with recursive {_WORDS},
+      up as (select sent_id, local_id, local_id here, head, [local_id] seen from w
+        union all select up.sent_id, up.local_id, w.local_id, w.head, list_append(seen, w.local_id)
+        from up join w on w.sent_id = up.sent_id and w.local_id = up.head where up.head <> 0 and not list_contains(seen, up.head)),
+      ends as (select *, coalesce(list_position(seen, head), 0) ring from up where head is null or head = 0 or list_contains(seen, head) or not exists (select 1 from w where w.sent_id = up.sent_id and w.local_id = up.head)),
+      ways as (select sent_id, local_id, case when head = 0 then 'rooted' when ring = 0 then 'detached' when ring = 1 then 'cycle' else 'below_cycle' end status,
+        case when ring > 0 then list_min(seen[ring:]) else here end top_local, list_reverse(case when ring > 0 then seen[:ring] else seen end) way from ends),
+      pairs as (select sent_id, local_id, unnest(way) above from ways),
+      below as (select sent_id, above local_id, count(*) - 1 n_below, string_agg(local_id, ',' order by local_id) filter (local_id <> above) descendants from pairs group by 1, 2)
+      select sent_id, local_id, status, top_local, cast(len(way) - 1 as integer) depth, array_to_string(way, '/') path, n_below, coalesce(descendants, '') descendants from ways join below using (sent_id, local_id)""",
     "p3_found": f"with {_LINES} select distinct line_id, reason from reasons",
     "p3_clean": f"""with {_LINES} select line_id, file_name, line_no, c[1] id, c[2] form, c[3] lemma, c[4] upos, c[5] xpos, c[6] feats, c[7] head, c[8] deprel, c[9] deps, c[10] misc
       from f where line_id not in (select line_id from reasons)""",
