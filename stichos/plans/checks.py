@@ -141,8 +141,9 @@ cells as (select line_id, 'snapshot_missing' diff, cast(null as varchar) current
 SQL = {
     "p1_found": f"with {_DIRECT} select distinct * from direct where kind is not null",
     "p1_cascade": f"""with recursive {_DIRECT},
+      sizes as (select count(*) n from w group by sent_id),
       down as (select distinct src, row_key, 0 steps from direct where kind is not null
-        union select 'word', w.sent_id || '#' || w.local_id, steps + 1 from down join w on down.src = 'word' and down.row_key = w.sent_id || '#' || w.head where w.head <> 0 and steps < 400),
+        union select 'word', w.sent_id || '#' || w.local_id, steps + 1 from down join w on down.src = 'word' and down.row_key = w.sent_id || '#' || w.head where w.head <> 0 and steps < (select max(n) from sizes)),
       least as (select src, row_key, min(steps) steps from down group by all),
       rows as (select 'word' src, sent_id || '#' || local_id row_key, loaded_at from w union all select 'break_candidate', cast(cand_no as varchar), loaded_at from c)
       select src, strftime(loaded_at, '%Y-%m') period, case when steps = 0 then 'direct' else 'inherited' end status, count(*) n_rows, max(steps) max_steps
