@@ -4,7 +4,7 @@ The target lines of a chapter are emissions of a hidden Markov model whose state
 lines running on, which decodes lines joined in the translation; a state may be used by several target lines, which decodes divided
 ones; jumps of any distance, backward too, decode lines moved or left out; and every state has a null twin that emits lines
 with no source. A target word comes from a word of the state's lines by the lexicon, or from the background. Viterbi decoding gives the
-state of every target line; a pair comes out for each line of the state that shares a word with it, or stands between lines that do.
+state of every target line; a pair comes out for each line of the state that shares a word with it, or stands between lines that do; a state whose lines share no word with it counts only where no line of the chapter shares one.
 
 The lexicon (form to lemma by the treebank, lemma to glosses) goes to the tasks while its counted rows are under max_entries, else it is joined to the
 source words by shuffle. The pairs of a first decoding teach it the words that glosses lack: each task counts its pairs by key and word, the
